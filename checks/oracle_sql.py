@@ -491,7 +491,7 @@ ORACLE: dict[str, str] = {
       count(*) filter (l_partkey is null) as Missing_ProductKey, count(*) filter (o_custkey is null) as Missing_CustomerKey,
       count(*) filter (o_orderdate is null) as Missing_OrderDate,
       count(*) filter (l_extendedprice * (1 - l_discount) is null) as Missing_SalesAmount
-      from orders left join lineitem on l_orderkey = o_orderkey""",
+      from orders full join lineitem on l_orderkey = o_orderkey""",
     "dq_key_uniqueness": """select 'vw_Territory' as TableName, r_name as KeyValue, count(*) as DuplicateCount
       from nation left join region on n_regionkey = r_regionkey group by r_name having count(*) > 1
       union all select 'vw_Product', cast(p_partkey as varchar), count(*) from part group by p_partkey having count(*) > 1

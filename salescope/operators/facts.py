@@ -33,20 +33,24 @@ SALES_RAW_COLUMNS = (
 CUSTOMER_ATTRIBUTES = ("IncomeGroup", "AgeGroup", "Gender", "Occupation", "HouseOwnerFlag")
 
 
+# Types of the sales view.
+SALES_TYPES = {
+    "SalesOrderNumber": "string",
+    "OrderDateKey": "bigint",
+    "ProductKey": "bigint",
+    "CustomerKey": "bigint",
+    "PromotionKey": "bigint",
+    "SalesTerritoryKey": "bigint",
+    "OrderQuantity": "int",
+    "UnitPrice": "decimal(18,2)",
+    "SalesAmount": "decimal(18,2)",
+    "TotalProductCost": "decimal(18,2)",
+}
+
+
 def sales_fact(sales: DataFrame) -> DataFrame:
-    """Order lines with typed keys and measures; the line number is left out."""
-    kinds = {
-        "OrderDateKey": "bigint",
-        "ProductKey": "bigint",
-        "CustomerKey": "bigint",
-        "PromotionKey": "bigint",
-        "SalesTerritoryKey": "bigint",
-        "OrderQuantity": "int",
-        "UnitPrice": "decimal(18,2)",
-        "SalesAmount": "decimal(18,2)",
-        "TotalProductCost": "decimal(18,2)",
-    }
-    return sales.select("SalesOrderNumber", *[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
+    """Order lines with typed keys and measures; the line number is left out, absent columns stay absent."""
+    return sales.select(*[F.col(c).cast(kind).alias(c) for c, kind in SALES_TYPES.items() if c in sales.columns])
 
 
 def line_profit(amount: Column | str = "SalesAmount", cost: Column | str = "TotalProductCost") -> Column:

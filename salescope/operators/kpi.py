@@ -43,20 +43,25 @@ def with_ratios(df: DataFrame) -> DataFrame:
     )
 
 
-def with_share(segments: DataFrame, within: Sequence[str] = ("dimension",)) -> DataFrame:
-    """Share of each row in the revenue of its ``within`` group.
+def with_share(segments: DataFrame) -> DataFrame:
+    """Share of each segment in the revenue of its dimension.
 
-    The totals hold one row per dimension (and period), so they are broadcast; a window would pull all
-    segments of a dimension into one task. ``segments`` is read twice: pass a stored table.
+    The totals hold one row per dimension, so they are broadcast; a window would pull all segments of a
+    dimension into one task. ``segments`` is read twice: pass a stored table.
     """
-    totals = segments.groupBy(*within).agg(F.sum("Revenue").alias("__total"))
-    shared = segments.join(F.broadcast(totals), list(within), "left")
+    totals = segments.groupBy("dimension").agg(F.sum("Revenue").alias("__total"))
+    shared = segments.join(F.broadcast(totals), "dimension", "left")
     return shared.withColumn("RevenueShare", ratio("Revenue", "__total")).drop("__total")
 
 
-def _segment_struct(dimension: str, period: Sequence[str]) -> Column:
-    segment = F.col(dimension).cast("string").alias("segment")
-    return F.struct(F.lit(dimension).alias("dimension"), segment, *[F.col(p) for p in period])
+def _slots(dimensions: Sequence[str]) -> dict[str, str]:
+    """Dimension to working column, so a measure, period or id can serve as a dimension too."""
+    return {d: f"__d{i}" for i, d in enumerate(dimensions)}
+
+
+def _narrow(df: DataFrame, slots: dict[str, str], *columns: str) -> DataFrame:
+    segments = [F.col(d).cast("string").alias(slot) for d, slot in slots.items()]
+    return df.select(*segments, *columns)
 
 
 def additive_by_segment(df: DataFrame, dimensions: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
@@ -65,9 +70,11 @@ def additive_by_segment(df: DataFrame, dimensions: Sequence[str], period: Sequen
     The fact collapses to combinations of all dimensions first, so only those rows, not the order lines, are
     repeated per dimension.
     """
-    combined = df.groupBy(*dimensions, *period).agg(*additive_aggregates())
-    segments = F.array(*[_segment_struct(d, period) for d in dimensions])
-    repeated = combined.select(*SUMS, F.explode(segments).alias("s")).select("s.*", *SUMS)
+    slots = _slots(dimensions)
+    lines = _narrow(df, slots, *period, *SUMS)
+    combined = lines.groupBy(*slots.values(), *period).agg(*additive_aggregates())
+    segments = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("segment")) for d, slot in slots.items()]
+    repeated = combined.select(*period, *SUMS, F.inline(F.array(*segments)))
     return repeated.groupBy("dimension", "segment", *period).agg(*[F.sum(m).alias(m) for m in SUMS])
 
 
@@ -79,19 +86,22 @@ def distinct_by_segment(
     Each id gathers the set of segments it occurs in, dimension by dimension. The sets are merged on the map
     side and cannot outgrow the number of segments, so an id that holds much of the fact stays small.
     """
-    values = {d: F.struct(F.col(d).cast("string").alias("segment"), *[F.col(p) for p in period]) for d in dimensions}
-    known = df.where(F.col(id_column).isNotNull())
-    per_id = known.groupBy(id_column).agg(*[F.collect_set(v).alias(d) for d, v in values.items()])
+    slots = _slots(dimensions)
+    known = _narrow(df.where(F.col(id_column).isNotNull()), slots, *period, F.col(id_column).alias("__id"))
+    sets = [
+        F.collect_set(F.struct(F.col(slot).alias("segment"), *[F.col(p) for p in period])).alias(slot)
+        for slot in slots.values()
+    ]
 
     def labelled(dimension: str) -> Column:
         return F.transform(
-            F.col(dimension),
+            F.col(slots[dimension]),
             lambda s: F.struct(
                 F.lit(dimension).alias("dimension"), s["segment"].alias("segment"), *[s[p].alias(p) for p in period]
             ),
         )
 
-    pairs = per_id.select(F.inline(F.concat(*[labelled(d) for d in dimensions])))
+    pairs = known.groupBy("__id").agg(*sets).select(F.inline(F.concat(*[labelled(d) for d in dimensions])))
     return pairs.groupBy("dimension", "segment", *period).agg(F.count(F.lit(1)).alias(name))
 
 
@@ -118,16 +128,16 @@ def segment_totals_grouping_sets(df: DataFrame, dimensions: Sequence[str]) -> Da
 
     ``grouping`` tells a NULL segment from a rolled-up column.
     """
-    columns = [F.col(d).cast("string").alias(d) for d in dimensions]
-    lines = df.select(*columns, *[c for c in (*SUMS, *DISTINCTS.values())])
+    slots = _slots(dimensions)
+    lines = _narrow(df, slots, *SUMS, *DISTINCTS.values())
     distincts = [F.count_distinct(F.col(source)).alias(name) for name, source in DISTINCTS.items()]
-    sets = lines.groupingSets([[F.col(d)] for d in dimensions], *[F.col(d) for d in dimensions])
-    marks = [F.grouping(d).alias(f"__g{i}") for i, d in enumerate(dimensions)]
+    marks = [F.grouping(slot).alias(f"{slot}_out") for slot in slots.values()]
+    sets = lines.groupingSets([[F.col(slot)] for slot in slots.values()], *[F.col(s) for s in slots.values()])
     grouped = sets.agg(*additive_aggregates(), *distincts, *marks)
     dimension, segment = F, F
-    for i, d in enumerate(dimensions):
-        dimension = dimension.when(F.col(f"__g{i}") == 0, F.lit(d))
-        segment = segment.when(F.col(f"__g{i}") == 0, F.col(d))
+    for d, slot in slots.items():
+        dimension = dimension.when(F.col(f"{slot}_out") == 0, F.lit(d))
+        segment = segment.when(F.col(f"{slot}_out") == 0, F.col(slot))
     return grouped.select(dimension.alias("dimension"), segment.alias("segment"), *MEASURES)
 
 

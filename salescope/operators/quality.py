@@ -56,12 +56,12 @@ def orphans(
 ) -> DataFrame:
     """Number of fact rows whose key is absent from the dimension; a NULL key is absent too.
 
-    Rows are counted per key before the join, so a hot key reaches it as one row. ``weight`` names a column
-    with the number of fact rows a row stands for.
+    Rows are counted per key before the join, so a hot key reaches it as one row, and so do repeated keys of
+    the other side. ``weight`` names a column with the number of fact rows a row stands for.
     """
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     keys = fact.groupBy(F.col(key).alias("k")).agg(rows.alias("n"))
-    known = dimension.select(F.col(dimension_key).alias("known"))
+    known = dimension.select(F.col(dimension_key).alias("known")).distinct()
     missing = keys.join(known, keys.k == known.known, "left_anti")
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("Orphans"))
 

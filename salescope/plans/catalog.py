@@ -138,8 +138,8 @@ def date_duration_days(spark: SparkSession, folder: str) -> DataFrame:
     return dated.select("OrderKey", "OrderDate", "ShipDate", days.alias("DurationDays"))
 
 
-def sales_view(spark: SparkSession, folder: str) -> DataFrame:
-    return facts.sales_fact(Retail(spark, folder).sales())
+def sales_view(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return facts.sales_fact(Retail(spark, folder).sales(*columns))
 
 
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,27 +203,15 @@ def unique_keys(retail: Retail) -> dict[tuple[str, str], DataFrame]:
     }
 
 
-def relationships(retail: Retail) -> dict[str, quality.Relationship]:
-    """Sales against each dimension; the header keys are counted per line without widening the lines."""
-    lines, orders = retail.lines().select("OrderKey", "ProductKey"), retail.orders()
-    per_order = lines.groupBy("OrderKey").agg(F.count(F.lit(1)).alias("Lines"))
-    sold = dimensions.lookup(
-        dimensions.lookup(per_order, orders, "OrderKey"),
-        retail.customers().select("CustomerKey", "GeographyKey"),
-        "CustomerKey",
-    )
-    keyed = sold.select(
-        "Lines",
-        "CustomerKey",
-        F.col("GeographyKey").alias("SalesTerritoryKey"),
-        calendar.date_key("OrderDate").alias("OrderDateKey"),
-    )
+def relationships(retail: Retail, sales: DataFrame) -> dict[str, quality.Relationship]:
+    """Sales against each dimension, and orders against sales. ``sales`` is read four times: pass it stored."""
+    orders = retail.orders().select(F.col("OrderKey").cast("string").alias("OrderNumber"))
     return {
-        "Sales_Without_Product": (lines, "ProductKey", retail.products(), "ProductKey"),
-        "Sales_Without_Customer": (keyed, "CustomerKey", retail.customers(), "CustomerKey", "Lines"),
-        "Sales_Without_Date": (keyed, "OrderDateKey", retail.dates(), "DateKey", "Lines"),
-        "Sales_Without_Territory": (keyed, "SalesTerritoryKey", retail.territories(), "SalesTerritoryKey", "Lines"),
-        "Orders_Without_Sales": (orders, "OrderKey", lines, "OrderKey"),
+        "Sales_Without_Product": (sales, "ProductKey", retail.products(), "ProductKey"),
+        "Sales_Without_Customer": (sales, "CustomerKey", retail.customers(), "CustomerKey"),
+        "Sales_Without_Date": (sales, "OrderDateKey", retail.dates(), "DateKey"),
+        "Sales_Without_Territory": (sales, "SalesTerritoryKey", retail.territories(), "SalesTerritoryKey"),
+        "Orders_Without_Sales": (orders, "OrderNumber", sales, "SalesOrderNumber"),
     }
 
 
@@ -232,12 +220,20 @@ def dq_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_null_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """NULLs of the sales columns over all orders, so orders without lines show as missing values."""
+    """NULLs of the sales columns over all orders, so orders without lines show as missing values.
+
+    The lines stay the streamed side of their join, where a hot order can be split; orders without lines are
+    added from an anti join on distinct order keys.
+    """
     retail = Retail(spark, folder)
-    sold = dimensions.lookup(
-        retail.orders(), retail.lines().withColumn("SalesOrderNumber", F.col("OrderKey").cast("string")), "OrderKey"
+    orders = retail.orders()
+    lines = retail.lines().withColumn("SalesOrderNumber", F.col("OrderKey").cast("string"))
+    sold = dimensions.lookup(lines, orders, "OrderKey")
+    unsold = orders.join(lines.select("OrderKey").distinct(), "OrderKey", "left_anti")
+    return quality.null_counts(
+        sold.unionByName(unsold, allowMissingColumns=True),
+        ["SalesOrderNumber", "ProductKey", "CustomerKey", "OrderDate", "SalesAmount"],
     )
-    return quality.null_counts(sold, ["SalesOrderNumber", "ProductKey", "CustomerKey", "OrderDate", "SalesAmount"])
 
 
 def dq_key_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,7 +244,9 @@ def dq_key_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.orphan_counts(relationships(Retail(spark, folder)))
+    retail = Retail(spark, folder)
+    keys = retail.sales("SalesOrderNumber", "OrderDateKey", "ProductKey", "CustomerKey", "SalesTerritoryKey")
+    return quality.orphan_counts(relationships(retail, scratch.materialize(keys, "sales_keys")))
 
 
 def dq_duplicate_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,7 +268,8 @@ def dq_sales_anomaly_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_anomaly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.anomaly_counts(sales_view(spark, folder), quality.anomaly_rules())
+    sales = sales_view(spark, folder, "OrderQuantity", "SalesAmount", "TotalProductCost")
+    return quality.anomaly_counts(sales, quality.anomaly_rules())
 
 
 def dq_date_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -291,11 +290,11 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
     fact = scratch.materialize(retail.sales(), "raw_sales")
     return quality.summary(
-        quality_tables(retail),
+        {**quality_tables(retail), "vw_Sales": fact},
         fact,
         REQUIRED,
         unique_keys(retail),
-        relationships(retail),
+        relationships(retail, fact),
         LINE_KEY,
         quality.anomaly_rules(),
         retail.dates(),
@@ -307,11 +306,13 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def validation_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(kpi.validation_totals(sales_view(spark, folder)))
+    sales = sales_view(spark, folder, "SalesOrderNumber", "SalesAmount", "TotalProductCost")
+    return plain(kpi.validation_totals(sales))
 
 
 def sales_by_year(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(kpi.sales_by_year(sales_view(spark, folder), Retail(spark, folder).dates()))
+    sales = sales_view(spark, folder, "OrderDateKey", "SalesAmount", "TotalProductCost")
+    return plain(kpi.sales_by_year(sales, Retail(spark, folder).dates()))
 
 
 def control_totals(spark: SparkSession, folder: str) -> DataFrame:

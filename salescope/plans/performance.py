@@ -55,7 +55,7 @@ class Performance:
     def history(self) -> DataFrame:
         """KPIs of every segment of every dimension over the full period."""
         totals = kpi.segment_totals(self.sales, self.config.history_dimensions)
-        return kpi.segment_kpis(materialize(totals, "segment_totals"))
+        return materialize(kpi.segment_kpis(materialize(totals, "segment_totals")), "segment_kpis")
 
     @cached_property
     def yearly(self) -> DataFrame:
@@ -66,7 +66,7 @@ class Performance:
     @cached_property
     def yoy(self) -> DataFrame:
         """Segments of the latest against the previous year."""
-        return segments.segment_yoy(self.yearly, *self.years, self.config.thresholds)
+        return materialize(segments.segment_yoy(self.yearly, *self.years, self.config.thresholds), "segment_yoy")
 
     @cached_property
     def series(self) -> DataFrame:

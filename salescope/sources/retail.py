@@ -95,23 +95,31 @@ class Retail:
         day = F.col("o_orderdate").cast("date")
         return date_dimension(generate_dates(self.table("orders").agg(F.min(day), F.max(day))))
 
-    def sales(self) -> DataFrame:
-        """Raw sales lines with all keys."""
-        headers = lookup(self.orders(), self.customers().select("CustomerKey", "GeographyKey"), "CustomerKey")
-        priced = lookup(self.lines(), self.products().select("ProductKey", "ListPrice"), "ProductKey")
-        return lookup(priced, headers, "OrderKey").select(
-            F.col("OrderKey").cast("string").alias("SalesOrderNumber"),
-            "SalesOrderLineNumber",
-            calendar.date_key("OrderDate").alias("OrderDateKey"),
-            "ProductKey",
-            "CustomerKey",
-            F.lit(None).cast("bigint").alias("PromotionKey"),
-            F.col("GeographyKey").alias("SalesTerritoryKey"),
-            F.col("Quantity").cast("int").alias("OrderQuantity"),
-            F.col("ListPrice").alias("UnitPrice"),
-            "SalesAmount",
-            self.cost().alias("TotalProductCost"),
-        )
+    def sales(self, *columns: str) -> DataFrame:
+        """Raw sales lines, or only some of their columns.
+
+        Spark keeps a left join whose columns nobody reads, since it cannot know the key is unique; so only the
+        lookups the asked columns need are made.
+        """
+        wanted = columns or tuple(name for name in raw_schema("sales").names)
+        sales = self.lines()
+        if {"UnitPrice", "TotalProductCost"} & set(wanted):
+            sales = lookup(sales, self.products().select("ProductKey", "ListPrice"), "ProductKey")
+        if {"OrderDateKey", "CustomerKey", "SalesTerritoryKey"} & set(wanted):
+            headers = self.orders()
+            if "SalesTerritoryKey" in wanted:
+                headers = lookup(headers, self.customers().select("CustomerKey", "GeographyKey"), "CustomerKey")
+            sales = lookup(sales, headers, "OrderKey")
+        derived = {
+            "SalesOrderNumber": F.col("OrderKey").cast("string"),
+            "OrderDateKey": calendar.date_key("OrderDate"),
+            "PromotionKey": F.lit(None).cast("bigint"),
+            "SalesTerritoryKey": F.col("GeographyKey"),
+            "OrderQuantity": F.col("Quantity").cast("int"),
+            "UnitPrice": F.col("ListPrice"),
+            "TotalProductCost": self.cost(),
+        }
+        return sales.select(*[derived.get(name, F.col(name)).alias(name) for name in wanted])
 
     @staticmethod
     def _fill(table: str, source: DataFrame, known: dict[str, Column]) -> DataFrame:
