@@ -5,17 +5,20 @@ Orders and customers are always counted again at the wanted grain, never added u
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.ratios import ratio
+from salescope.sources.scratch import materialize
 
 SUMS = ("Revenue", "Profit", "UnitsSold")
 DISTINCTS = {"Orders": "SalesOrderNumber", "Customers": "CustomerKey"}
 MEASURES = (*SUMS, *DISTINCTS)
+# Bits of a bigint that can stand for segments, one of them kept for NULL.
+MASK_BITS = 62
 
 
 def zero_sum(value: Column | str) -> Column:
@@ -78,42 +81,99 @@ def additive_by_segment(df: DataFrame, dimensions: Sequence[str], period: Sequen
     return repeated.groupBy("dimension", "segment", *period).agg(*[F.sum(m).alias(m) for m in SUMS])
 
 
-def distinct_by_segment(
-    df: DataFrame, id_column: str, dimensions: Sequence[str], period: Sequence[str] = (), name: str = "n"
+def small_dictionaries(segments: DataFrame) -> dict[str, list[str | None]]:
+    """Segment values of every dimension with at most ``MASK_BITS`` of them.
+
+    At most ``MASK_BITS`` + 1 rows per dimension reach the driver; a dimension that fills them is left out.
+    """
+    values = segments.select("dimension", "segment").distinct()
+    order = Window.partitionBy("dimension").orderBy("segment")
+    first = values.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= MASK_BITS + 1)
+    found: dict[str, list[str | None]] = {}
+    for row in first.select("dimension", "segment").collect():
+        found.setdefault(row.dimension, []).append(row.segment)
+    return {d: v for d, v in found.items() if len(v) <= MASK_BITS}
+
+
+def _bit(segment: Column, values: Sequence[str | None]) -> Column:
+    """The bit that stands for a segment value; NULL takes the one after the known values."""
+    known = [v for v in values if v is not None]
+    null_bit = F.lit(1 << len(known)).cast("bigint")
+    if not known:
+        return null_bit
+    position = (F.array_position(F.array(*[F.lit(v) for v in known]), segment) - 1).cast("int")
+    return F.when(segment.isNull(), null_bit).otherwise(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), position)
+    )
+
+
+def _distinct_by_mask(
+    ids: DataFrame, slots: Mapping[str, str], dictionaries: Mapping[str, Sequence[str | None]], period: Sequence[str]
 ) -> DataFrame:
-    """Exact distinct ids per (dimension, segment, period) with one shuffle of the ids for all dimensions.
+    """Distinct ids where every dimension has few segments.
 
-    Each id gathers the set of segments it occurs in, dimension by dimension. The sets are merged on the map
-    side and cannot outgrow the number of segments, so an id that holds much of the fact stays small.
+    An id carries one number per dimension with a bit for each segment it occurs in. The numbers merge on the
+    map side, an id is shuffled once for all dimensions, and the bits are then added up.
     """
-    slots = _slots(dimensions)
-    known = _narrow(df.where(F.col(id_column).isNotNull()), slots, *period, F.col(id_column).alias("__id"))
-    sets = [
-        F.collect_set(F.struct(F.col(slot).alias("segment"), *[F.col(p) for p in period])).alias(slot)
-        for slot in slots.values()
-    ]
+    masks = [F.bit_or(_bit(F.col(slots[d]), dictionaries[d])).alias(slots[d]) for d in slots]
+    per_id = ids.groupBy("__id", *period).agg(*masks)
+    counts, rows = [], []
+    for d, slot in slots.items():
+        known = [v for v in dictionaries[d] if v is not None]
+        for bit, value in enumerate([*known, None]):
+            name = f"{slot}_{bit}"
+            counts.append(F.sum(F.shiftright(F.col(slot), bit).bitwiseAND(F.lit(1).cast("bigint"))).alias(name))
+            segment = F.lit(value).cast("string").alias("segment")
+            rows.append(F.struct(F.lit(d).alias("dimension"), segment, F.col(name).alias("__n")))
+    return per_id.groupBy(*period).agg(*counts).select(*period, F.inline(F.array(*rows))).where("__n > 0")
 
-    def labelled(dimension: str) -> Column:
-        return F.transform(
-            F.col(slots[dimension]),
-            lambda s: F.struct(
-                F.lit(dimension).alias("dimension"), s["segment"].alias("segment"), *[s[p].alias(p) for p in period]
-            ),
-        )
 
-    pairs = known.groupBy("__id").agg(*sets).select(F.inline(F.concat(*[labelled(d) for d in dimensions])))
-    return pairs.groupBy("dimension", "segment", *period).agg(F.count(F.lit(1)).alias(name))
+def _distinct_by_pair(ids: DataFrame, slots: Mapping[str, str], period: Sequence[str]) -> DataFrame:
+    """Distinct ids for any number of segments: each id once per dimension, segment and period."""
+    segments = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("segment")) for d, slot in slots.items()]
+    pairs = ids.select("__id", *period, F.inline(F.array(*segments))).distinct()
+    return pairs.groupBy("dimension", "segment", *period).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def distinct_by_segment(
+    df: DataFrame,
+    id_column: str,
+    dimensions: Sequence[str],
+    period: Sequence[str] = (),
+    name: str = "n",
+    dictionaries: Mapping[str, Sequence[str | None]] | None = None,
+) -> DataFrame:
+    """Exact distinct ids per (dimension, segment, period).
+
+    Dimensions in ``dictionaries`` (see ``small_dictionaries``) are counted with bit masks, the others from
+    (id, segment) pairs. Both combine on the map side, so an id that holds much of the fact stays small.
+    """
+    dictionaries = dictionaries or {}
+    ids, id_value = df.where(F.col(id_column).isNotNull()), F.col(id_column).alias("__id")
+    coded = [d for d in dimensions if d in dictionaries]
+    others = [d for d in dimensions if d not in dictionaries]
+    parts = []
+    if coded:
+        slots = _slots(coded)
+        parts.append(_distinct_by_mask(_narrow(ids, slots, *period, id_value), slots, dictionaries, period))
+    if others:
+        slots = _slots(others)
+        parts.append(_distinct_by_pair(_narrow(ids, slots, *period, id_value), slots, period))
+    counted = reduce(DataFrame.unionByName, parts)
+    return counted.select("dimension", "segment", *period, F.col("__n").alias(name))
 
 
 def segment_totals(df: DataFrame, dimensions: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
     """The five measures per (dimension, segment, period) for several dimensions.
 
-    The fact is read once for the sums and once per id column, each time only the columns needed; pass a
-    stored fact rather than an unfinished join.
+    The fact is read once for the sums, which are stored and also tell which dimensions have few segments, and
+    once per id column, each time only the columns needed; pass a stored fact rather than an unfinished join.
     """
     keys = ("dimension", "segment", *period)
-    parts = [additive_by_segment(df, dimensions, period)]
-    parts += [distinct_by_segment(df, source, dimensions, period, name) for name, source in DISTINCTS.items()]
+    sums = materialize(additive_by_segment(df, dimensions, period), "segment_sums")
+    small = small_dictionaries(sums)
+    parts = [sums]
+    parts += [distinct_by_segment(df, source, dimensions, period, name, small) for name, source in DISTINCTS.items()]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return stacked.groupBy(*keys).agg(*[zero_sum(m).alias(m) for m in MEASURES])
 

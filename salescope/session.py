@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -20,6 +23,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Runtime settings for the actions of one block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def local_session(cores: int = 8, memory: str = "12g", name: str = "salescope") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     spark = (

@@ -1,11 +1,12 @@
 import sys
+from contextlib import ExitStack
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from salescope.session import local_session  # noqa: E402
+from salescope.session import local_session, settings  # noqa: E402
 
 SALES_SCHEMA = """CalendarYear bigint, YearMonthNumber int, Revenue decimal(18,2), Profit decimal(18,2),
     UnitsSold bigint, SalesOrderNumber string, CustomerKey string, ProductCategory string"""
@@ -21,20 +22,10 @@ def spark():
 @pytest.fixture
 def conf(spark):
     """Set runtime settings for one test."""
-    before = {}
-
-    def change(**settings):
-        for key, value in settings.items():
-            name = key.replace("__", ".")
-            before.setdefault(name, spark.conf.get(name, None))
-            spark.conf.set(name, value)
-
-    yield change
-    for name, value in before.items():
-        if value is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, value)
+    with ExitStack() as stack:
+        yield lambda **values: stack.enter_context(
+            settings(spark, {key.replace("__", "."): value for key, value in values.items()})
+        )
 
 
 @pytest.fixture

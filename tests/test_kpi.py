@@ -93,17 +93,43 @@ def test_segment_totals_equal_brute_force(make_sales, seed):
 
 
 def test_all_forms_agree(make_sales):
-    sales = make_sales(*random_lines(300, 9))
-    dims = ["ProductCategory", "CustomerKey"]
+    sales = make_sales(*random_lines(600, 9))
+    dims = ["ProductCategory", "CustomerKey", "SalesOrderNumber", "Revenue"]
     key = ("dimension", "segment")
     union = as_dict(kpi.segment_totals(sales, dims), *key)
     sets = as_dict(kpi.segment_totals_grouping_sets(sales, dims), *key)
     assert union == sets
     for d in dims:
-        single = as_dict(long(kpi.kpis(sales, d), d), *key)
+        grouped = kpi.kpis(sales.withColumn("by", F.col(d).cast("string")), "by")
+        single = as_dict(long(grouped, "by").withColumn("dimension", F.lit(d)), *key)
         assert single == {k: v for k, v in union.items() if k[0] == d}
 
 
+def test_dimensions_of_few_and_of_many_segments(spark):
+    """62 values fit the masks, 63 do not; a NULL takes one of the places."""
+    few = F.nullif(F.col("id") % 62, F.lit(5)).cast("string").alias("segment")
+    many = (F.col("id") % 63).cast("string").alias("segment")
+    ids = spark.range(130)
+    rows = ids.select(F.lit("few").alias("dimension"), few).union(ids.select(F.lit("many").alias("dimension"), many))
+    found = kpi.small_dictionaries(rows)
+    assert set(found) == {"few"} and len(found["few"]) == 62 and None in found["few"]
+
+
+@pytest.mark.parametrize("segments", [1, 62, 63])
+def test_masks_and_pairs_agree_at_the_limit(spark, segments):
+    lines = spark.range(5000).select(
+        F.nullif(F.col("id") % segments, F.lit(segments - 1)).cast("string").alias("d"),
+        (F.col("id") * 7919 % 300).cast("string").alias("k"),
+        (F.col("id") % 3).alias("CalendarYear"),
+    )
+    small = kpi.small_dictionaries(lines.select(F.lit("d").alias("dimension"), F.col("d").alias("segment")))
+    assert bool(small) == (segments <= 62)
+    keys = ("segment", "CalendarYear")
+    masks = as_dict(kpi.distinct_by_segment(lines, "k", ["d"], ["CalendarYear"], dictionaries=small), *keys)
+    pairs = as_dict(kpi.distinct_by_segment(lines, "k", ["d"], ["CalendarYear"]), *keys)
+    assert masks == pairs and len(masks) == len(lines.select("d", "CalendarYear").distinct().collect())
+
+
 def test_distincts_exceed_the_total_when_added(make_sales):
     lines = full_year(2012, 1200, "Bikes", "a") + full_year(2012, 600, "Clothing", "b")
     sales = make_sales(*lines)
