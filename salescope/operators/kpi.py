@@ -95,37 +95,42 @@ def small_dictionaries(segments: DataFrame) -> dict[str, list[str | None]]:
     return {d: v for d, v in found.items() if len(v) <= MASK_BITS}
 
 
-def _bit(segment: Column, values: Sequence[str | None]) -> Column:
-    """The bit that stands for a segment value; NULL takes the one after the known values."""
-    known = [v for v in values if v is not None]
-    null_bit = F.lit(1 << len(known)).cast("bigint")
-    if not known:
-        return null_bit
-    position = (F.array_position(F.array(*[F.lit(v) for v in known]), segment) - 1).cast("int")
-    return F.when(segment.isNull(), null_bit).otherwise(
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), position)
-    )
-
-
 def _distinct_by_mask(
     ids: DataFrame, slots: Mapping[str, str], dictionaries: Mapping[str, Sequence[str | None]], period: Sequence[str]
 ) -> DataFrame:
     """Distinct ids where every dimension has few segments.
 
-    An id carries one number per dimension with a bit for each segment it occurs in. The numbers merge on the
-    map side, an id is shuffled once for all dimensions, and the bits are then added up.
+    An id carries one number per dimension with a bit for each segment it occurs in; NULL takes the bit after
+    the known values. The numbers merge on the map side and an id is shuffled once for all dimensions. Equal
+    numbers are then counted before their bits are taken apart.
     """
-    masks = [F.bit_or(_bit(F.col(slots[d]), dictionaries[d])).alias(slots[d]) for d in slots]
-    per_id = ids.groupBy("__id", *period).agg(*masks)
-    counts, rows = [], []
-    for d, slot in slots.items():
-        known = [v for v in dictionaries[d] if v is not None]
-        for bit, value in enumerate([*known, None]):
-            name = f"{slot}_{bit}"
-            counts.append(F.sum(F.shiftright(F.col(slot), bit).bitwiseAND(F.lit(1).cast("bigint"))).alias(name))
-            segment = F.lit(value).cast("string").alias("segment")
-            rows.append(F.struct(F.lit(d).alias("dimension"), segment, F.col(name).alias("__n")))
-    return per_id.groupBy(*period).agg(*counts).select(*period, F.inline(F.array(*rows))).where("__n > 0")
+    known = {d: [v for v in dictionaries[d] if v is not None] for d in slots}
+    values = {d: F.array(*[F.lit(v) for v in known[d]]).cast("array<string>") for d in slots}
+    one = F.lit(1).cast("bigint")
+
+    def bit(dimension: str) -> Column:
+        segment = F.col(slots[dimension])
+        position = (F.array_position(values[dimension], segment) - 1).cast("int")
+        null_bit = F.lit(1 << len(known[dimension])).cast("bigint")
+        return F.when(segment.isNull(), null_bit).otherwise(F.call_function("shiftleft", one, position))
+
+    per_id = ids.groupBy("__id", *period).agg(*[F.bit_or(bit(d)).alias(slot) for d, slot in slots.items()])
+    masks = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("__mask")) for d, slot in slots.items()]
+    per_mask = (
+        per_id.select(*period, F.inline(F.array(*masks)))
+        .groupBy("dimension", "__mask", *period)
+        .agg(F.count(F.lit(1)).alias("__ids"))
+    )
+    bits = per_mask.select("*", F.explode(F.sequence(F.lit(0), F.lit(MASK_BITS))).alias("__bit"))
+    per_bit = (
+        bits.where("(shiftright(__mask, __bit) & 1) = 1")
+        .groupBy("dimension", "__bit", *period)
+        .agg(F.sum("__ids").alias("__n"))
+    )
+    segment = F
+    for d in slots:
+        segment = segment.when(F.col("dimension") == F.lit(d), F.get(values[d], F.col("__bit")))
+    return per_bit.select("dimension", segment.alias("segment"), *period, "__n")
 
 
 def _distinct_by_pair(ids: DataFrame, slots: Mapping[str, str], period: Sequence[str]) -> DataFrame:
