@@ -290,6 +290,12 @@ REBOUND_COLUMNS = (
     f" {r(change('RevenueLatest', 'RevenuePrior'))} as LatestVsPrior"
 )
 
+REBOUND = """
+  select a.Revenue as RevenueLatest, b.Revenue as RevenuePrevious, c.Revenue as RevenuePrior,
+    coalesce(c.Months = 12, false) as PriorComplete
+  from pair join months a on a.CalendarYear = ly join months b on b.CalendarYear = py
+    left join months c on c.CalendarYear = py - 1"""
+
 
 def attach_matrix() -> str:
     return (
@@ -313,7 +319,7 @@ def unpivot(
         f"select {keys}, '{v}' as metric, {r(v, digits)} as value, cast(null as varchar) as text from {source}"
         for v in values
     ]
-    parts += [f"select {keys}, '{t}' as metric, cast(null as double) as value, {t} as text from {source}" for t in texts]
+    parts += [f"select {keys}, '{t}' as metric, cast(null as double) as value, cast({t} as varchar) as text from {source}" for t in texts]
     return " union all ".join(parts)
 
 
@@ -331,6 +337,7 @@ def report_facts() -> str:
         f"hist as ({ranked('segk', 'Revenue desc', 8)})",
         "flags as (select count(*) filter (RiskFlag) as RiskSegments,"
         " count(*) filter (OpportunityFlag) as OpportunitySegments from yoy)",
+        f"rb as ({REBOUND}), rbk as (select {REBOUND_COLUMNS}, PriorComplete from rb)",
         "olf as (select *, least(LinearNext, CagrNext) as Low, greatest(LinearNext, CagrNext) as High from ol)",
     ]
     keys = {"dimension": "dimension", "rank": "rank", "segment": "segment"}
@@ -338,6 +345,11 @@ def report_facts() -> str:
         unpivot("kpi_global", "g", KPI_COLUMNS),
         unpivot("revenue_by_year", "months", ["Revenue"], segment="CalendarYear"),
         unpivot("headline_yoy", "headline", ["Latest", "Previous", "YoY"], segment="measure"),
+        unpivot(
+            "rebound", "rbk",
+            ["RevenueLatest", "RevenuePrevious", "RevenuePrior", "LatestVsPrevious", "LatestVsPrior"],
+            ["IsRebound", "PriorComplete"],
+        ),
         unpivot("history", "hist", (*KPI_COLUMNS, "RevenueShare"), **keys),
     ]
     for name, (order, n, where) in RANKINGS.items():
@@ -353,12 +365,25 @@ def report_facts() -> str:
             digits=2,
         ),
         unpivot(
-            "revenue_outlook", "olf", ["NextYear", "CAGR", "LinearNext", "CagrNext", "Low", "High"], digits=2
+            "revenue_outlook", "olf", ["NextYear", "CAGR", "LinearNext", "CagrNext", "Low", "High"], ["Volatile"], digits=2
         ),
     ]
     return with_(*ctes) + " union all ".join(parts)
 
 
+def report_text() -> str:
+    whole = "format('{:,.0f}', value)"
+    kind = "case when section = 'headline_yoy' and metric <> 'YoY' then segment else metric end"
+    money = """'Revenue', 'Profit', 'AOV', 'RevPerCustomer', 'RevenueLatest', 'RevenuePrevious', 'RevenuePrior',
+      'AvgAttachBasket', 'AddressableRevenue', 'AddressableProfit', 'LinearNext', 'CagrNext', 'Low', 'High'"""
+    percent = """'MarginPct', 'MarginDelta', 'RevenueShare', 'RevenueYoY', 'ProfitYoY', 'OrdersYoY', 'CustomersYoY',
+      'YoY', 'LatestVsPrevious', 'LatestVsPrior', 'AttachRate', 'AttachMargin', 'CAGR'"""
+    return f"""select section, dimension, rank, segment, metric, coalesce(text,
+      case when kind in ({money}) then {whole} || ' €' when kind in ({percent}) then format('{{:.1f}}', value * 100) || '%'
+        when kind = 'NextYear' then cast(cast(value as bigint) as varchar) else {whole} end, 'N/A') as display
+      from (select *, {kind} as kind from ({report_facts()}))"""
+
+
 def formatted() -> str:
     money = {"Revenue", "Profit", "AOV", "RevPerCustomer"}
     parts = []
@@ -537,12 +562,7 @@ ORACLE: dict[str, str] = {
       from months a left join months b on b.CalendarYear = a.CalendarYear - 1""",
     "headline_yoy": with_(SALES, YEARS, YEARLY_KPI, headline())
     + "select measure, round(Latest, 6) as Latest, round(Previous, 6) as Previous, round(YoY, 6) as YoY from headline",
-    "rebound_flag": PERIOD + f""", rb as (
-      select a.Revenue as RevenueLatest, b.Revenue as RevenuePrevious, c.Revenue as RevenuePrior,
-        coalesce(c.Months = 12, false) as PriorComplete
-      from pair join months a on a.CalendarYear = ly join months b on b.CalendarYear = py
-        left join months c on c.CalendarYear = py - 1)
-      select {REBOUND_COLUMNS}, PriorComplete from rb""",
+    "rebound_flag": PERIOD + f", rb as ({REBOUND}) select {REBOUND_COLUMNS}, PriorComplete from rb",
     "rebound_by_segment": rebound_segments(),
     "ytd_revenue": with_(SALES, YTD) + """select CalendarYear, YearMonthNumber, cast(Revenue as double) as Revenue,
       cast(RevenueYTD as double) as RevenueYTD from ytd""",
@@ -608,6 +628,7 @@ ORACLE: dict[str, str] = {
     + f"select dimension, segment, {OUTLOOK_COLUMNS} from ol",
     "formatted_kpis": formatted(),
     "report_facts": report_facts(),
+    "report_text": report_text(),
 }
 ORACLE["dq_date_range"] = with_(CALENDAR) + ORACLE["dq_date_range"]
 for _name in ("control_totals", "load_export_roundtrip"):

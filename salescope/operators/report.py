@@ -12,6 +12,40 @@ from salescope.functions.ratios import as_column
 
 FACT_COLUMNS = ("section", "dimension", "rank", "segment", "metric", "value", "text")
 
+# How the figures of the report are shown. Other figures are whole numbers.
+MONEY_METRICS = (
+    "Revenue",
+    "Profit",
+    "AOV",
+    "RevPerCustomer",
+    "RevenueLatest",
+    "RevenuePrevious",
+    "RevenuePrior",
+    "AvgAttachBasket",
+    "AddressableRevenue",
+    "AddressableProfit",
+    "LinearNext",
+    "CagrNext",
+    "Low",
+    "High",
+)
+PERCENT_METRICS = (
+    "MarginPct",
+    "MarginDelta",
+    "RevenueShare",
+    "RevenueYoY",
+    "ProfitYoY",
+    "OrdersYoY",
+    "CustomersYoY",
+    "YoY",
+    "LatestVsPrevious",
+    "LatestVsPrior",
+    "AttachRate",
+    "AttachMargin",
+    "CAGR",
+)
+PLAIN_METRICS = ("NextYear",)
+
 
 def facts(
     df: DataFrame,
@@ -52,6 +86,24 @@ def facts(
     )
 
 
+def displayed(report: DataFrame, currency: str) -> DataFrame:
+    """Report facts with a ``display`` column: money, percent, whole numbers, labels, 'N/A' where NULL.
+
+    The headline rows hold several measures under the same metrics, so their measure name decides.
+    """
+    kind = F.when(
+        (F.col("section") == "headline_yoy") & (F.col("metric") != "YoY"), F.col("segment")
+    ).otherwise(F.col("metric"))
+    shown = (
+        F.when(F.col("text").isNotNull(), F.col("text"))
+        .when(kind.isin(*MONEY_METRICS), text.money("value", currency))
+        .when(kind.isin(*PERCENT_METRICS), text.percent("value"))
+        .when(kind.isin(*PLAIN_METRICS), F.coalesce(F.col("value").cast("bigint").cast("string"), F.lit(text.MISSING)))
+        .otherwise(text.grouped_number("value"))
+    )
+    return report.withColumn("display", shown)
+
+
 def write_facts(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").partitionBy("section").parquet(path)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from salescope.config import AnalysisConfig, Thresholds
 from salescope.functions import bands, calendar, labels
 from salescope.operators import basket, dimensions, facts, kpi, outlook, periods, quality, ranking, segments
-from salescope.operators.report import formatted_kpis
+from salescope.operators.report import displayed, formatted_kpis
 from salescope.plans.performance import SEGMENT_FIGURES, Performance
 from salescope.session import tune
 from salescope.sources import scratch
@@ -517,6 +517,12 @@ def report_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def report_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The report lines as shown to a reader."""
+    shown = displayed(report_facts(spark, folder), CONFIG.currency)
+    return shown.select("section", "dimension", "rank", "segment", "metric", "display")
+
+
 QUERIES: Mapping[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_customer": dim_customer,
     "dim_product": dim_product,
@@ -587,6 +593,7 @@ QUERIES: Mapping[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_outlook_by_segment": revenue_outlook_by_segment,
     "formatted_kpis": formatted,
     "report_facts": report_facts,
+    "report_text": report_text,
 }
 
 

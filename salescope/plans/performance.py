@@ -113,6 +113,12 @@ class Performance:
             report.facts(self.kpi_global(), "kpi_global", measures),
             report.facts(self.series, "revenue_by_year", ["Revenue"], segment=YEAR),
             report.facts(self.headline(), "headline_yoy", ["Latest", "Previous", "YoY"], segment="measure"),
+            report.facts(
+                self.rebound(),
+                "rebound",
+                ["RevenueLatest", "RevenuePrevious", "RevenuePrior", "LatestVsPrevious", "LatestVsPrior"],
+                ["IsRebound", "PriorComplete"],
+            ),
             report.facts(history, "history", (*measures, "RevenueShare"), **keys),
         ]
         for section, table in self.ranked().items():
@@ -139,7 +145,14 @@ class Performance:
                 ],
             ),
             report.facts(
-                self.outlook(), "revenue_outlook", ["NextYear", "CAGR", "LinearNext", "CagrNext", "Low", "High"]
+                self.outlook(),
+                "revenue_outlook",
+                ["NextYear", "CAGR", "LinearNext", "CagrNext", "Low", "High"],
+                ["Volatile"],
             ),
         ]
         return reduce(DataFrame.unionByName, parts)
+
+    def report_text(self) -> DataFrame:
+        """The report facts with every figure as formatted text."""
+        return report.displayed(self.report_facts(), self.config.currency)

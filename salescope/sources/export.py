@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from salescope.config import ALL
 
-SEPARATOR = ";"
+# Quotes inside text are doubled and outer blanks are kept, so text comes back as it was.
+CSV_OPTIONS = {
+    "sep": ";",
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 BOM = "﻿"
 EXPORT_ORDER = ("YearMonthNumber", "Country", "ProductCategory")
 ID_COLUMNS = ("SalesOrderNumber", "CustomerKey")
@@ -26,7 +33,7 @@ def export_sales(sales: DataFrame, path: str, partitions: int | None = None) ->
     keys = [*EXPORT_ORDER, *ID_COLUMNS]
     ranged = [*[F.col(k) for k in keys], F.xxhash64(*sales.columns)]
     split = sales.repartitionByRange(partitions, *ranged) if partitions else sales.repartitionByRange(*ranged)
-    split.sortWithinPartitions(*keys).write.option("sep", SEPARATOR).option("header", True).csv(path)
+    split.sortWithinPartitions(*keys).write.options(**CSV_OPTIONS).csv(path)
 
 
 def first_existing(spark: SparkSession, paths: str | Sequence[str]) -> str:
@@ -73,7 +80,7 @@ def load_export(
 ) -> DataFrame:
     """Read an export: names cleaned, figures that do not parse become NULL, ids stay text."""
     path = first_existing(spark, paths)
-    raw = spark.read.option("sep", SEPARATOR).option("header", True).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS).csv(path)
     raw = raw.toDF(*clean_names(raw.columns))
     typed = raw.select(*[_typed(name) for name in raw.columns])
     return require_rows(apply_filters(typed, filters or {}))
