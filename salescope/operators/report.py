@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions import text
-from salescope.functions.ratios import as_column
 
 FACT_COLUMNS = ("section", "dimension", "rank", "segment", "metric", "value", "text")
 
@@ -52,37 +51,24 @@ def facts(
     section: str,
     values: Sequence[str] = (),
     texts: Sequence[str] = (),
-    dimension: Column | str | None = None,
-    rank: Column | str | None = None,
-    segment: Column | str | None = None,
+    dimension: str | None = None,
+    rank: str | None = None,
+    segment: str | None = None,
 ) -> DataFrame:
     """Columns of a report table as (section, dimension, rank, segment, metric, value, text) rows."""
 
-    def key(column: Column | str | None, kind: str) -> Column:
-        return (F.lit(None) if column is None else as_column(column)).cast(kind)
-
-    figures = [
-        F.struct(
-            F.lit(v).alias("metric"),
-            F.col(v).cast("double").alias("value"),
-            F.lit(None).cast("string").alias("text"),
-        )
-        for v in values
-    ]
-    words = [
-        F.struct(
-            F.lit(t).alias("metric"),
-            F.lit(None).cast("double").alias("value"),
-            F.col(t).cast("string").alias("text"),
-        )
-        for t in texts
-    ]
-    return df.select(
-        F.lit(section).alias("section"),
-        key(dimension, "string").alias("dimension"),
-        key(rank, "int").alias("rank"),
-        key(segment, "string").alias("segment"),
-        F.inline(F.array(*figures, *words)),
+    def key(column: str | None, kind: str, name: str) -> str:
+        return f"cast({'null' if column is None else f'`{column}`'} as {kind}) as {name}"
+
+    figures = [f"'{v}', cast(`{v}` as double), cast(null as string)" for v in values]
+    words = [f"'{t}', cast(null as double), cast(`{t}` as string)" for t in texts]
+    cells = ", ".join([*figures, *words])
+    return df.selectExpr(
+        f"'{section}' as section",
+        key(dimension, "string", "dimension"),
+        key(rank, "int", "rank"),
+        key(segment, "string", "segment"),
+        f"stack({len(figures) + len(words)}, {cells}) as (metric, value, text)",
     )
 
 

@@ -13,7 +13,7 @@ from salescope.config import AnalysisConfig, Thresholds
 from salescope.functions import bands, calendar, labels
 from salescope.operators import basket, dimensions, facts, kpi, outlook, periods, quality, ranking, segments
 from salescope.operators.report import displayed, formatted_kpis
-from salescope.plans.performance import SEGMENT_FIGURES, Performance
+from salescope.plans.performance import RANKED, SEGMENT_FIGURES, Performance
 from salescope.session import tune
 from salescope.sources import scratch
 from salescope.sources.export import apply_filters, export_sales, load_export, require_rows
@@ -52,21 +52,16 @@ def performance(spark: SparkSession, folder: str) -> Performance:
 
 def plain(df: DataFrame, *columns: str) -> DataFrame:
     """Result form: decimals as double, ratios to 6 digits, averages to 4, projections to 2."""
-    out = []
-    for field in (df.select(*columns) if columns else df).schema.fields:
-        value = F.col(field.name)
-        if field.name in RATIO_COLUMNS:
-            value = F.round(value.cast("double"), 6)
-        elif field.name in AMOUNT_COLUMNS:
-            value = F.round(value.cast("double"), 4)
-        elif field.name in COARSE_COLUMNS:
-            value = F.round(value.cast("double"), 2)
-        elif field.dataType.typeName() == "decimal":
-            value = value.cast("double")
-        elif field.dataType.typeName() == "integer":
-            value = value.cast("bigint")
-        out.append(value.alias(field.name))
-    return df.select(*out)
+
+    def shown(name: str, kind: str) -> str:
+        for names, digits in ((RATIO_COLUMNS, 6), (AMOUNT_COLUMNS, 4), (COARSE_COLUMNS, 2)):
+            if name in names:
+                return f"round(cast(`{name}` as double), {digits}) as `{name}`"
+        wider = {"decimal": "double", "int": "bigint"}.get(kind.split("(")[0])
+        return f"cast(`{name}` as {wider}) as `{name}`" if wider else f"`{name}`"
+
+    kinds = dict(df.dtypes)
+    return df.selectExpr(*[shown(name, kinds[name]) for name in columns or df.columns])
 
 
 # Dimensions, fact and bands --------------------------------------------------------------------------------
@@ -453,7 +448,7 @@ def flag_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _ranked(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        table = performance(spark, folder).ranked()[name]
+        table = performance(spark, folder).ranked(name)
         return plain(table, "dimension", "rank", "segment", *SEGMENT_FIGURES, "BusinessSignal")
 
     query.__doc__ = f"Ranked table {name} of all dimensions."
@@ -576,12 +571,7 @@ QUERIES: Mapping[str, Callable[[SparkSession, str], DataFrame]] = {
     "business_signal": business_signal,
     "signal_distribution": signal_distribution,
     "flag_counts": flag_counts,
-    "top_growth": _ranked("top_growth"),
-    "top_decline": _ranked("top_decline"),
-    "top_margin": _ranked("top_margin"),
-    "low_margin": _ranked("low_margin"),
-    "top_risk": _ranked("top_risk"),
-    "top_opportunity": _ranked("top_opportunity"),
+    **{name: _ranked(name) for name in RANKED if name != "new_segments"},
     "new_segments": new_segments,
     "opportunity_matrix": opportunity_matrix,
     "chart_year_bars": chart_year_bars,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
@@ -24,6 +23,15 @@ SEGMENT_FIGURES = (
     "OrdersYoY",
     "CustomersYoY",
 )
+RANKED = {
+    "top_growth": ranking.top_growth,
+    "top_decline": ranking.top_decline,
+    "top_margin": ranking.top_margin,
+    "low_margin": ranking.low_margin,
+    "top_risk": ranking.top_risk,
+    "top_opportunity": ranking.top_opportunity,
+    "new_segments": ranking.new_segments,
+}
 
 
 def store_sales(sales: DataFrame) -> DataFrame:
@@ -91,18 +99,10 @@ class Performance:
     def attach(self) -> DataFrame:
         return basket.attach_analysis(self.sales, self.config.attach_anchor, self.config.attach_category)
 
-    def ranked(self) -> Mapping[str, DataFrame]:
-        """The ranked segment tables by section name."""
-        n = self.config.ranked_top
-        return {
-            "top_growth": ranking.top_growth(self.yoy, n),
-            "top_decline": ranking.top_decline(self.yoy, n),
-            "top_margin": ranking.top_margin(self.yoy, n),
-            "low_margin": ranking.low_margin(self.yoy, n),
-            "top_risk": ranking.top_risk(self.yoy, n),
-            "top_opportunity": ranking.top_opportunity(self.yoy, n),
-            "new_segments": ranking.new_segments(self.yoy, self.config.new_top),
-        }
+    def ranked(self, name: str) -> DataFrame:
+        """A ranked segment table by its section name."""
+        size = self.config.new_top if name == "new_segments" else self.config.ranked_top
+        return RANKED[name](self.yoy, size)
 
     def report_facts(self) -> DataFrame:
         """Everything the report states, as one long table."""
@@ -121,8 +121,8 @@ class Performance:
             ),
             report.facts(history, "history", (*measures, "RevenueShare"), **keys),
         ]
-        for section, table in self.ranked().items():
-            parts.append(report.facts(table, section, SEGMENT_FIGURES, ["BusinessSignal"], **keys))
+        for section in RANKED:
+            parts.append(report.facts(self.ranked(section), section, SEGMENT_FIGURES, ["BusinessSignal"], **keys))
         labels = segments.label_distribution(self.yoy)
         parts += [
             report.facts(labels, "signal_distribution", ["Segments"], dimension="kind", segment="label"),
