@@ -30,12 +30,22 @@ def _rows(names: list[str], rows: list) -> list[str]:
     return sorted(repr(tuple(_cell(row[i]) for i in order)) for row in rows)
 
 
+# Spark type to SQL type name, for the types results may have.
+TYPES = {
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
 def differences(actual: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
-    """Empty where names, row counts, types of values and values agree."""
-    cursor = connection.execute(sql)
-    names, expected = [d[0] for d in cursor.description], cursor.fetchall()
-    if sorted(actual.columns) != sorted(names):
-        return [f"columns {sorted(actual.columns)} against {sorted(names)}"]
+    """Empty where names, types, row counts and values agree."""
+    schema = {row[0]: row[1] for row in connection.execute(f"describe {sql}").fetchall()}
+    if {name: TYPES.get(kind, kind) for name, kind in actual.dtypes} != schema:
+        return [f"columns {actual.dtypes} against {schema}"]
+    names, expected = list(schema), connection.execute(sql).fetchall()
     got, wanted = _rows(actual.columns, actual.collect()), _rows(names, expected)
     found = []
     if len(got) != len(wanted):

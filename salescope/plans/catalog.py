@@ -40,6 +40,7 @@ AMOUNT_COLUMNS = {"AOV", "RevPerCustomer", "AvgAttachBasket"}
 COARSE_COLUMNS = {"AddressableRevenue", "AddressableProfit", "LinearNext", "CagrNext", "Low", "High"}
 
 _analyses: dict[tuple[str, str], Performance] = {}
+_sales: dict[tuple[str, str], DataFrame] = {}
 
 
 def performance(spark: SparkSession, folder: str) -> Performance:
@@ -50,6 +51,14 @@ def performance(spark: SparkSession, folder: str) -> Performance:
     return _analyses[key]
 
 
+def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw sales lines of a folder, stored once for the checks and validation totals of the application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _sales:
+        _sales[key] = scratch.materialize(Retail(spark, folder).sales(), "raw_sales")
+    return _sales[key]
+
+
 def plain(df: DataFrame, *columns: str) -> DataFrame:
     """Result form: decimals as double, ratios to 6 digits, averages to 4, projections to 2."""
 
@@ -133,12 +142,12 @@ def date_duration_days(spark: SparkSession, folder: str) -> DataFrame:
     return dated.select("OrderKey", "OrderDate", "ShipDate", days.alias("DurationDays"))
 
 
-def sales_view(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return facts.sales_fact(Retail(spark, folder).sales(*columns))
+def sales_view(spark: SparkSession, folder: str) -> DataFrame:
+    return facts.sales_fact(raw_sales(spark, folder))
 
 
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(sales_view(spark, folder).drop("PromotionKey"))
+    return plain(facts.sales_fact(Retail(spark, folder).sales()).drop("PromotionKey"))
 
 
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -239,9 +248,7 @@ def dq_key_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    retail = Retail(spark, folder)
-    keys = retail.sales("SalesOrderNumber", "OrderDateKey", "ProductKey", "CustomerKey", "SalesTerritoryKey")
-    return quality.orphan_counts(relationships(retail, scratch.materialize(keys, "sales_keys")))
+    return quality.orphan_counts(relationships(Retail(spark, folder), raw_sales(spark, folder)))
 
 
 def dq_duplicate_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,8 +270,7 @@ def dq_sales_anomaly_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_anomaly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    sales = sales_view(spark, folder, "OrderQuantity", "SalesAmount", "TotalProductCost")
-    return quality.anomaly_counts(sales, quality.anomaly_rules())
+    return quality.anomaly_counts(sales_view(spark, folder), quality.anomaly_rules())
 
 
 def dq_date_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,7 +289,7 @@ def dq_grain(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
-    fact = scratch.materialize(retail.sales(), "raw_sales")
+    fact = raw_sales(spark, folder)
     return quality.summary(
         {**quality_tables(retail), "vw_Sales": fact},
         fact,
@@ -301,13 +307,11 @@ def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def validation_totals(spark: SparkSession, folder: str) -> DataFrame:
-    sales = sales_view(spark, folder, "SalesOrderNumber", "SalesAmount", "TotalProductCost")
-    return plain(kpi.validation_totals(sales))
+    return plain(kpi.validation_totals(sales_view(spark, folder)))
 
 
 def sales_by_year(spark: SparkSession, folder: str) -> DataFrame:
-    sales = sales_view(spark, folder, "OrderDateKey", "SalesAmount", "TotalProductCost")
-    return plain(kpi.sales_by_year(sales, Retail(spark, folder).dates()))
+    return plain(kpi.sales_by_year(sales_view(spark, folder), Retail(spark, folder).dates()))
 
 
 def control_totals(spark: SparkSession, folder: str) -> DataFrame:

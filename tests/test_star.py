@@ -127,3 +127,12 @@ def test_read_star_and_views(spark, raw, tmp_path):
     star.register_views(views)
     joined = spark.sql("select sum(SalesAmount) from vw_Sales s join vw_Product p on s.ProductKey = p.ProductKey")
     assert joined.first()[0] == Decimal("20.00")
+
+
+def test_views_kept_as_catalog_tables(spark, raw):
+    star.save_tables({"vw_Territory": dimensions.territory_dimension(raw["territory"])}, "bi_test")
+    try:
+        star.save_tables({"vw_Territory": dimensions.territory_dimension(raw["territory"])}, "bi_test")
+        assert spark.table("bi_test.vw_Territory").first().Country == "France"
+    finally:
+        spark.sql("DROP SCHEMA bi_test CASCADE")
