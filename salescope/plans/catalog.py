@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.config import AnalysisConfig, Thresholds
-from salescope.functions import bands, calendar, labels
+from salescope.functions import bands, labels
 from salescope.operators import basket, dimensions, facts, kpi, outlook, periods, quality, ranking, segments
 from salescope.operators.report import displayed, formatted_kpis
 from salescope.plans.performance import RANKED, SEGMENT_FIGURES, Performance
