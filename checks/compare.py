@@ -33,6 +33,7 @@ def _rows(names: list[str], rows: list) -> list[str]:
 # Spark type to SQL type name, for the types results may have.
 TYPES = {
     "bigint": "BIGINT",
+    "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
     "boolean": "BOOLEAN",

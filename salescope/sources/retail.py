@@ -16,7 +16,6 @@ from salescope.config import INCOME_LABELS
 from salescope.functions import bands, calendar
 from salescope.operators.dimensions import date_dimension, generate_dates, lookup
 from salescope.operators.facts import line_profit
-from salescope.sources.scratch import spread
 from salescope.sources.star import raw_schema
 
 # Schemas of the given tables.
@@ -142,10 +141,7 @@ class Retail:
         """Order lines; decimals are cast before any product, so amounts are exact."""
         price = F.col("l_extendedprice").cast(MONEY)
         discount = F.col("l_discount").cast("decimal(4,2)")
-        lines = spread(self.table("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
-        ))
-        return lines.select(
+        return self.table("lineitem").select(
             F.col("l_orderkey").alias("OrderKey"),
             F.col("l_linenumber").alias("SalesOrderLineNumber"),
             F.col("l_partkey").alias("ProductKey"),

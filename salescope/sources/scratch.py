@@ -2,49 +2,43 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import lru_cache
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from salescope.session import settings
 
-@lru_cache(maxsize=None)
-def _local_root(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="salescope-")
+# A stored step ends its job, so the shuffle files behind it are of no more use.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
-def root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where one machine runs everything."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _local_root(context.applicationId)
-    return f"{shared.rstrip('/')}/salescope/{context.applicationId}"
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder in ``spark.checkpoint.dir``, if the session names one."""
+    return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path that all executors share: below ``spark.checkpoint.dir``, or else in the warehouse."""
+    folder = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/salescope/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
     Used where several later steps read the same result: the lineage ends at replicated files, so a lost
-    executor costs a re-read, and each reader scans only its own columns and partitions.
+    executor costs a re-read, and each reader scans only its own columns and partitions. Without
+    ``spark.checkpoint.dir`` the lineage stays and the rows are kept on the executors' disks instead, from
+    where Spark computes them again if they are lost.
     """
     spark = df.sparkSession
+    if not shared_folder(spark):
+        return df.persist(StorageLevel.DISK_ONLY)
     path = new_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    with settings(spark, FREE_SHUFFLES):
+        df.write.partitionBy(*partition_by).parquet(path)
     columns = [f for f in df.schema.fields if f.name not in partition_by]
     columns += [df.schema[name] for name in partition_by]
     return spark.read.schema(type(df.schema)(columns)).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one split per core; a large input is returned as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

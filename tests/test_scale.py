@@ -132,9 +132,3 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert spark.sparkContext.applicationId in path
     if shared:
         assert path.startswith(shared)
-
-
-def test_large_scans_are_not_repartitioned(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert scratch.spread(wide) is wide
-    assert scratch.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
