@@ -164,6 +164,18 @@ def run_hashes(values: np.ndarray, size: int) -> np.ndarray:
     return result
 
 
+def smallest_within(values: np.ndarray, size: int) -> np.ndarray:
+    """Smallest of every ``size`` neighbouring values."""
+    if len(values) < size:
+        return values[:0]
+    least, span = values, 1
+    while 2 * span <= size:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    rest = size - span
+    return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+
+
 def whole_runs(bounds: np.ndarray, size: int) -> np.ndarray:
     """Starts of the runs of ``size`` values that stay inside one text; texts are ranges in ``bounds``."""
     counts = np.maximum(np.diff(bounds) - size + 1, 0)

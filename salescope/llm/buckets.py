@@ -35,28 +35,31 @@ class Entries:
 
     def __init__(self, kind: int, partitions: int, size: int, smallest_only: bool = False):
         self.kind, self.partitions, self.size, self.smallest_only = kind, partitions, size, smallest_only
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held: list[tuple[np.ndarray, ...]] = []
         self.count = 0
 
-    def add(self, hashes: np.ndarray, docs: np.ndarray, places: np.ndarray) -> None:
-        """Entries in order of document and place."""
+    def add(self, hashes: np.ndarray, docs: np.ndarray, places: np.ndarray, routes: np.ndarray | None = None) -> None:
+        """Entries in order of document and place. Entries with equal hashes have equal ``routes``, which decide on the
+        partition; without, the hash itself does."""
         if len(hashes):
-            self.held.append((hashes, docs, places))
+            route = hashes if routes is None else routes
+            bucket = ((route >> np.uint64(40)) % np.uint64(self.partitions)).astype(np.uint32)
+            self.held.append((hashes, docs, places, bucket))
             self.count += len(hashes)
 
     def rows(self, at_end: bool = False) -> Iterator[pa.RecordBatch]:
         if not self.held or (self.count < FLUSH and not at_end):
             return
-        hashes, docs, places = (np.concatenate(x) for x in zip(*self.held))
+        hashes, docs, places, bucket = (np.concatenate(x) for x in zip(*self.held))
         self.held, self.count = [], 0
         if self.smallest_only:
             order = np.lexsort((docs, hashes))
-            hashes, docs, places = hashes[order], docs[order], places[order]
+            hashes, docs, places, bucket = hashes[order], docs[order], places[order], bucket[order]
             first = np.ones(len(hashes), dtype=bool)
             first[1:] = hashes[1:] != hashes[:-1]
             again = np.argsort(docs[first], kind="stable")
-            hashes, docs, places = hashes[first][again], docs[first][again], places[first][again]
-        bucket = ((hashes >> np.uint64(40)) % np.uint64(self.partitions)).astype(np.uint16 if self.partitions < 65536 else np.uint32)
+            hashes, docs, places, bucket = (x[first][again] for x in (hashes, docs, places, bucket))
+        bucket = bucket.astype(np.uint16) if self.partitions < 1 << 16 else bucket
         order = np.argsort(bucket, kind="stable")
         bucket, hashes, docs, places = bucket[order], hashes[order], docs[order], places[order]
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
@@ -142,10 +145,3 @@ class Smallest:
         slots[slots == len(self.hashes)] = 0
         hit = self.hashes[slots] == hashes[near] if len(self.hashes) else np.zeros(len(near), dtype=bool)
         return near[hit], slots[hit]
-
-
-def per_document(docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Documents and the list of places of each; entries come document by document."""
-    cuts = np.concatenate(([0], np.flatnonzero(np.diff(docs)) + 1)) if len(docs) else np.zeros(0, dtype=np.int64)
-    bounds = pa.array(np.append(cuts, len(docs)), pa.int32())
-    return docs[cuts], pa.ListArray.from_arrays(bounds, pa.array(places, pa.int32()))

@@ -6,7 +6,8 @@ rolling windows of a block's length are probed against the index. A hit leaves t
 probed and in the reference; each hit is extended to the maximal exact repeat by comparing these passages window by
 window, and a passage is a repeat if a document with a smaller id has it too. All words of such passages go.
 
-Spark deals blocks, probes and passages to partitions by their hash, packed to a few bytes each. A partition first reads
+Spark deals blocks and probes to partitions by their hash, and passages by the smallest hash of a block within them, so
+that neighbouring passages mostly stay together; all are packed to a few bytes each. A partition first reads
 the index entries, one for each distinct hash, and then passes the probes by, so a passage that a third of all documents
 share takes no more memory than any other. Words are compared by 64-bit hashes of the whole passage.
 
@@ -21,11 +22,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.blocks import Words, binary_column, covered, flat, per_piece, pieces, ranges, run_hashes
-from salescope.llm.buckets import SCHEMA, Entries, Smallest, dealt, per_document, received
+from salescope.llm.blocks import Words, binary_column, covered, flat, per_piece, pieces, ranges, run_hashes, smallest_within
+from salescope.llm.buckets import SCHEMA, Entries, Smallest, dealt, received
 from salescope.sources.scratch import materialize
 
 WINDOW = 50
@@ -77,11 +78,8 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = found[docs[found] > smallest.docs[slots]]
         else:
             found = found[docs[found] < smallest.latest[slots]]
-        if len(found):
-            owners, lists = per_document(docs[found], places[found])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(owners, pa.int64()), pa.array(np.full(len(owners), kind), pa.int32()), lists], ["doc_id", "kind", "places"]
-            )
+        columns = [pa.array(docs[found]), pa.array(np.full(len(found), kind), pa.int32()), pa.array(places[found], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kind", "place"])
 
 
 def _passages(window: int, partitions: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -94,7 +92,8 @@ def _passages(window: int, partitions: int) -> Callable[[Iterator[pa.RecordBatch
         for batch in batches:
             for piece in pieces(batch, "text"):
                 words = Words(*flat(piece.column("text")))
-                hashes = run_hashes(words.hashes(), window)
+                single = words.hashes()
+                hashes, routes = run_hashes(single, window), smallest_within(run_hashes(single, block), window - block + 1)
                 ids = piece.column("doc_id").to_numpy()
                 for entries, name in ((references, "shared"), (probes, "probed")):
                     lists = piece.column(name)
@@ -107,7 +106,7 @@ def _passages(window: int, partitions: int) -> Callable[[Iterator[pa.RecordBatch
                     wanted = covered(words.bounds[:-1][owner[good]] + low[good], (high - low + 1)[good], len(hashes) + window)
                     starts = np.flatnonzero(wanted[: len(hashes)])
                     text = np.searchsorted(words.bounds, starts, side="right") - 1
-                    entries.add(hashes[starts], ids[text], starts - words.bounds[text])
+                    entries.add(hashes[starts], ids[text], starts - words.bounds[text], routes[starts])
                     yield from entries.rows()
         for entries in (references, probes):
             yield from entries.rows(at_end=True)
@@ -116,7 +115,7 @@ def _passages(window: int, partitions: int) -> Callable[[Iterator[pa.RecordBatch
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Starts of passages that an earlier document has."""
+    """Runs of starts of passages that an earlier document has."""
     smallest = Smallest()
     for kind, hashes, docs, places in received(batches, WINDOW_HASH_BYTES):
         if kind == INDEXED:
@@ -125,19 +124,22 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, slots = smallest.find(hashes)
         found = found[docs[found] > smallest.docs[slots]]
         if len(found):
-            owners, lists = per_document(docs[found], places[found])
-            yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), lists], ["doc_id", "places"])
+            docs, places = docs[found], places[found]
+            cut = np.flatnonzero((np.diff(docs) != 0) | (np.diff(places) != 1)) + 1
+            low, high = np.concatenate(([0], cut)), np.concatenate((cut, [len(docs)])) - 1
+            columns = [pa.array(docs[low]), pa.array(places[low], pa.int32()), pa.array(places[high], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "last"])
 
 
 def _kept(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(*flat(piece.column("text")))
-        lists = piece.column("places")
+        lists = piece.column("runs")
         sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         owner = np.repeat(np.arange(len(piece)), sizes)
-        starts = words.bounds[:-1][owner] + lists.flatten().to_numpy()
+        first, last = (lists.flatten().field(name).to_numpy().astype(np.int64) for name in ("first", "last"))
         total = len(words.starts)
-        gone = covered(starts, np.full(len(starts), window), total + window)[:total]
+        gone = covered(words.bounds[:-1][owner] + first, last - first + window, total + window)[:total]
         left = np.concatenate(([0], np.cumsum(~gone)))[words.bounds]
         # Each kept word with one space before it; the space before a text's first word is cut off.
         start, end = words.starts[~gone], words.ends[~gone]
@@ -163,24 +165,20 @@ def _kept(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return per_piece(work)
 
 
-def _flat_lists(column: Column) -> Column:
-    return F.flatten(F.collect_list(column))
-
-
 def deduplicate(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of ``docs`` (doc_id, text); ``kept`` joins words by one space."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = texts.where("doc_id is not null")
     probes = dealt(known.mapInArrow(_probes(window, partitions), SCHEMA), partitions)
-    hits = materialize(probes.mapInArrow(_hits, "doc_id long, kind int, places array<int>"), "anchors")
+    hits = materialize(probes.mapInArrow(_hits, "doc_id long, kind int, place int"), "anchors")
     around = hits.groupBy("doc_id").agg(
-        _flat_lists(F.when(F.col("kind") == REFERENCES, F.col("places"))).alias("shared"),
-        _flat_lists(F.when(F.col("kind") == PROBED, F.col("places"))).alias("probed"),
+        F.collect_list(F.when(F.col("kind") == REFERENCES, F.col("place"))).alias("shared"),
+        F.collect_list(F.when(F.col("kind") == PROBED, F.col("place"))).alias("probed"),
     )
     passages = dealt(known.join(around, "doc_id").mapInArrow(_passages(window, partitions), SCHEMA), partitions)
-    repeats = materialize(passages.mapInArrow(_repeats, "doc_id long, places array<int>"), "repeats")
-    found = repeats.groupBy("doc_id").agg(_flat_lists(F.col("places")).alias("places"))
+    repeats = materialize(passages.mapInArrow(_repeats, "doc_id long, first int, last int"), "repeats")
+    found = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     return texts.join(found, "doc_id", "left").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, kept string"
     )
