@@ -229,7 +229,9 @@ def _links(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share")
     centres = shares.select("centre", every, F.lit(False).alias("is_member"), F.col("centre").alias("id"))
     wanted = members.unionByName(centres)
-    with_text = wanted.join(texts.withColumnRenamed("doc_id", "id"), "id")
+    # Texts and ids always meet by a shuffle: the ids grow with the corpus.
+    with_text = texts.withColumnRenamed("doc_id", "id").join(wanted.hint("merge"), "id")
+    with_text = with_text.select("centre", "share", "is_member", "id", "text")
     ordered = with_text.repartition("centre", "share").sortWithinPartitions("centre", "share", "is_member")
     return ordered.mapInArrow(_confirm(words), "a long, b long")
 
@@ -283,8 +285,13 @@ def find(docs: DataFrame, words: int = 5) -> DataFrame:
     rest = grouped.mapInArrow(_within_blocks, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     more = materialize(_links(known, materialize(rest, "other_pairs"), words), "other_links")
 
-    found = components(links.unionByName(more))
-    labelled = sets.select("digest", "id").join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
+    to = {end: near.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")) for end in ("a", "b")}
+    between = more.join(to["a"], "a", "left").join(to["b"], "b", "left")
+    between = between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    merged = components(between).select(F.col("id").alias("own"), F.col("component").alias("whole"))
+    own = F.coalesce("component", "id")
+    labelled = sets.select("digest", "id").join(near, "id", "left").select("digest", own.alias("own")).join(merged, "own", "left")
+    labelled = labelled.select("digest", F.coalesce("whole", "own").alias("component_id"))
     result = sketches.select("doc_id", "size", "digest").join(labelled, "digest", "left")
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
