@@ -29,12 +29,14 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Itera
         row = stop
 
 
-def per_piece(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text") -> Callable:
+def per_piece(
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text", most: int = PIECE_BYTES
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for ``mapInArrow`` that hands ``work`` one bounded piece after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, column):
+            for piece in pieces(batch, column, most):
                 made = work(piece)
                 if made is not None and len(made):
                     yield made

@@ -32,6 +32,7 @@ from salescope.llm.idstore import IdStore
 NO_PAIR = np.int64(1 << 62)
 # Ids as text, for digests.
 DECIMAL = [str(i) for i in range(1 << 16)]
+PIECE_BYTES = 1 << 20
 
 
 class Vocabulary:
@@ -192,13 +193,16 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(ranks, pattern)
 
 
-def _encoder(path: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _encoder(path: str, pattern: str) -> Step:
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         ids, bounds = vocabulary(path, pattern).encode(piece.column("text").to_pylist())
         lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
         return pa.RecordBatch.from_arrays([piece.column("doc_id"), lists], ["doc_id", "ids"])
 
-    return per_piece(work)
+    return per_piece(work, most=PIECE_BYTES)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -207,12 +211,10 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return texts.mapInArrow(_encoder(path, pattern), "doc_id long, ids array<int>")
 
 
-def _decoder(path: str, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _decoder(path: str, pattern: str) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path, pattern)
-        order = range(max(known.tokens) + 1)
-        table = pa.array([known.tokens.get(i) for i in order], pa.large_binary())
-        data, starts = flat(table)
+        data, starts = flat(pa.array([known.tokens.get(i) for i in range(max(known.tokens) + 1)], pa.large_binary()))
         sizes = np.diff(starts)
         for batch in batches:
             for at in range(0, len(batch), 256):
@@ -234,11 +236,12 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decoder(path, pattern), "doc_id long, ids array<int>, data binary")
 
 
-def _digester(with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _digester(with_ids: bool) -> Step:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, bounds = batch.column("ids").flatten().to_numpy(), np.concatenate(([0], np.cumsum(batch.column("ids").value_lengths())))
-            listed, of_ids, of_data = list(map(DECIMAL.__getitem__, ids.tolist())), [], []
+            ids = batch.column("ids").flatten().to_numpy().tolist()
+            bounds = np.concatenate(([0], np.cumsum(batch.column("ids").value_lengths())))
+            listed, of_ids, of_data = list(map(DECIMAL.__getitem__, ids)), [], []
             for low, high, data in zip(bounds[:-1].tolist(), bounds[1:].tolist(), batch.column("data")):
                 of_ids.append(hashlib.sha256(",".join(listed[low:high]).encode()).hexdigest())
                 of_data.append(hashlib.sha256(data.as_buffer()).hexdigest())
@@ -251,7 +254,18 @@ def _digester(with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
-def digests(decoded: DataFrame, with_ids: bool = False) -> DataFrame:
-    """Per document: number of ids, digest of the decimal ids joined by commas and of the decoded bytes, and the ids."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Per document: number of ids, digest of the decimal ids joined by commas and of the decoded bytes, and the ids.
+
+    Texts are encoded, decoded and digested piece by piece in one worker, so a task needs the memory of one.
+    """
+    steps = _encoder(path, pattern), _decoder(path, pattern), _digester(with_ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return decoded.mapInArrow(_digester(with_ids), schema + (", ids array<int>" if with_ids else ""))
+    return texts.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Distinct strings in each of the two generations that a worker keeps.
-STORED = 300_000
+STORED = 200_000
 
 
 def gathered(first: np.ndarray, ids: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -80,9 +80,8 @@ def page_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(BYTE_BPE)
-    encoded = bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, path, public_tokenizers.PATTERN))
+    docs = table(spark, folder, "documents")
+    return bpe.round_trip(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
 def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
