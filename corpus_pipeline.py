@@ -38,9 +38,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the bytes they decode to."""
-    path = public_tokenizers.path(BYTE_BPE)
-    ids = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(ids, path, public_tokenizers.PATTERN), with_ids=True)
+    return bpe.round_trip(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [
