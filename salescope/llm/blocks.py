@@ -5,7 +5,9 @@ Everything here is a small vectorised helper for one piece of a partition; Spark
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,21 @@ PIECE_BYTES = 4 << 20
 TABLE_BYTES = 24
 
 
+@lru_cache(maxsize=1)
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library gives memory back by itself
+        return None
+
+
+def release() -> None:
+    """Give freed memory back to the machine: Spark keeps Python workers for the next tasks, and others need it now."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``most`` bytes in a column, or one row if that row is larger."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -27,6 +44,7 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Itera
         stop = max(row + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield batch.slice(row, stop - row)
         row = stop
+    release()
 
 
 def per_piece(

@@ -163,7 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     slots, ratios = np.array([r.slot for r in best]), np.array([r.ratio for r in best])
     values = ratios.tolist()
     vector = F.udf(lambda places: Vectors.sparse(len(values), places, [values[i] for i in places]), VectorUDT())
-    sets = rows.mapInArrow(_feature_sets(slots), "toxic int, places array<int>")
+    # Stored before the next Python step, so that a task never needs two workers.
+    sets = materialize(rows.mapInArrow(_feature_sets(slots), "toxic int, places array<int>"), "toxic_features")
     weight = F.when(F.col("toxic") == 1, F.lit(float((clean / toxic) ** BALANCE))).otherwise(1.0)
     training = sets.select(F.col("toxic").cast("double").alias("label"), weight.alias("weight"), vector("places").alias("features"))
     training.persist()
