@@ -174,6 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
 
 
 def score_texts(model: Model, table: np.ndarray, texts: list[str | None]) -> np.ndarray:
+    if not np.isfinite(model.intercept):
+        return np.full(len(texts), float(model.intercept > 0))
     slots, owners = gram_slots(texts)
     weighty = table[slots] != 0
     seen = np.unique(owners[weighty].astype(np.int64) << SLOT_BITS | slots[weighty])
