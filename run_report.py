@@ -32,10 +32,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--star", help="folder with one folder per raw star table")
     source.add_argument("--export", nargs="+", help="export paths; the first that exists is read")
-    parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today(), help="day the ages refer to")
+    parser.add_argument("--as-of", type=dt.date.fromisoformat, help="day the ages refer to; required with --star")
     parser.add_argument("--filter", action="append", default=[], metavar="COLUMN=VALUE")
     parser.add_argument("--report", required=True, help="folder for the report facts")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.star and args.as_of is None:
+        parser.error("--star needs --as-of, so that ages do not change with the day of the run")
+    return args
 
 
 def main(argv: list[str] | None = None) -> None:

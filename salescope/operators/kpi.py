@@ -112,7 +112,9 @@ def _distinct_by_mask(
         segment = F.col(slots[dimension])
         position = (F.array_position(values[dimension], segment) - 1).cast("int")
         null_bit = F.lit(1 << len(known[dimension])).cast("bigint")
-        return F.when(segment.isNull(), null_bit).otherwise(F.call_function("shiftleft", one, position))
+        unknown = F.raise_error(F.concat(F.lit(f"segment of {dimension} is not in its dictionary: "), segment)).cast("bigint")
+        known_bit = F.when(position < 0, unknown).otherwise(F.call_function("shiftleft", one, position))
+        return F.when(segment.isNull(), null_bit).otherwise(known_bit)
 
     per_id = ids.groupBy("__id", *period).agg(*[F.bit_or(bit(d)).alias(slot) for d, slot in slots.items()])
     masks = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("__mask")) for d, slot in slots.items()]

@@ -48,9 +48,11 @@ class Performance:
     """All results over one fact. The fact is scanned for the segment tables once; reports read the tables."""
 
     def __init__(self, sales: DataFrame, config: AnalysisConfig = AnalysisConfig(), stored: bool = False):
-        kept = sales if not config.active_filters else require_rows(apply_filters(sales, config.active_filters))
+        kept = apply_filters(sales, config.active_filters) if config.active_filters else sales
         self.config = config
         self.sales = kept if stored else store_sales(kept)
+        if config.active_filters:
+            require_rows(self.sales)
 
     # Stages ----------------------------------------------------------------------------------------------
 

@@ -13,8 +13,10 @@ SALES_SCHEMA = """CalendarYear bigint, YearMonthNumber int, Revenue decimal(18,2
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(4, "6g", "tests")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from checks.compare import connect, differences
+from checks.oracle_sql import ORACLE
 from salescope.config import AnalysisConfig
 from salescope.operators import report
+from salescope.plans.catalog import catalog
 from salescope.plans.performance import Performance
 from tests.conftest import full_year
 
@@ -17,10 +19,10 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog()) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog()))
 def test_query_equals_sql(spark, tables, name):
     """Same result, from a plan without Python workers or cross joins."""
     result = contract.queries()[name](spark, FOLDER)
