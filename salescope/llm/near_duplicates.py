@@ -10,11 +10,13 @@ share a band meet in a bucket. At a similarity of 0.8 a pair misses all bands on
 2. In every bucket each member is paired with one centre. Pairs whose sizes or registers rule the similarity out are
    dropped: the share of equal registers is corrected for registers that are equal by chance, and the margin below the
    threshold is five standard errors. The rest is confirmed on the full sets, and components are formed.
-3. Buckets that still hold members of different components are compared member by member, block against block, on
-   registers alone; only pairs of different components that pass the same test go on to be confirmed.
+3. Buckets that still hold members of different components are compared member by member, block against block: first
+   by registers, then by the ``LEAST`` smallest shingles of both. Sets of up to that size are compared whole, so only true
+   links of theirs go on to be confirmed; of larger sets those go on that are within five standard errors.
 
-So a large group of copies costs one pair for each member and not for each two. Centres with very many members are split
-among tasks; a confirming task holds one set and passes the others by.
+So a large group of copies costs one pair for each member and not for each two, and a large group of texts that are
+almost similar enough is told apart without a row for each two of them. Centres with very many members are split among
+tasks; a confirming task holds one set and passes the others by.
 
 A text with fewer words has its whole sequence as its one shingle. Texts that are NULL, empty or white space have no set
 and are linked with nothing. Rows without ``doc_id`` are linked with nothing and kept. Repeated rows of a document have
@@ -39,6 +41,7 @@ from salescope.sources.scratch import materialize
 REGISTERS, BANDS, ROWS, MANTISSA = 200, 40, 5, 10
 THRESHOLD = 80
 BLOCK = 512
+LEAST = 512
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -116,6 +119,38 @@ def possible(equal: np.ndarray, sizes: np.ndarray, others: np.ndarray) -> np.nda
     return (100 * smaller >= THRESHOLD * larger) & (estimate(equal, sizes, others) >= need - margin)
 
 
+def _least(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The upper halves of the smallest shingle hashes of every set, in ascending order."""
+
+    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
+        shingles, offsets = shingle_sets(piece.column("text"), words)
+        least = [(shingles[a : min(b, a + LEAST)] >> np.uint64(32)).astype(np.uint32) for a, b in zip(offsets[:-1], offsets[1:])]
+        columns = [piece.column("id"), pa.array([x.tobytes() for x in least], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["id", "least"])
+
+    return per_piece(work)
+
+
+def similar_in_part(mine: np.ndarray, size: int, others: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    """Whether the smallest shingles of one set and of each other set leave room for a link.
+
+    Both are compared up to the largest value that both are known to. Equal halves of different hashes can only add to
+    what is shared, so no link is lost; where both sets are known whole there is no margin.
+    """
+    top = np.uint32(0xFFFFFFFF)
+    ends = np.array([x[-1] if n > LEAST else top for x, n in zip(others, sizes.tolist())], dtype=np.uint32)
+    ends = np.minimum(ends, mine[-1] if size > LEAST else top)
+    counts = np.array([len(x) for x in others])
+    values, owner = np.concatenate(others), np.repeat(np.arange(len(others)), counts)
+    known = values <= ends[owner]
+    places = np.minimum(np.searchsorted(mine, values), len(mine) - 1)
+    shared = np.bincount(owner[known & (mine[places] == values)], minlength=len(others))
+    either = np.searchsorted(mine, ends, side="right") + np.bincount(owner[known], minlength=len(others)) - shared
+    need = THRESHOLD / 100
+    margin = np.where((sizes > LEAST) | (size > LEAST), 5 * np.sqrt(need * (1 - need) / np.maximum(either, 1)), 0)
+    return 100 * shared >= (THRESHOLD - 100 * margin) * either - 1e-6
+
+
 def _sketches(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         shingles, offsets = shingle_sets(piece.column("text"), words)
@@ -167,6 +202,7 @@ def _within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         own = np.array([r["component"] for r in rows], dtype=np.int64)
         sizes = np.array([r["size"] for r in rows], dtype=np.int64)
         registers = np.frombuffer(b"".join(r["registers"] for r in rows), dtype=np.uint16).reshape(-1, REGISTERS)
+        least = [np.frombuffer(r["least"], dtype=np.uint32) for r in rows]
         left, right = [], []
         for i in range(len(rows) - 1):
             others = np.flatnonzero(own[i + 1 :] != own[i]) + i + 1
@@ -174,6 +210,8 @@ def _within_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if len(others):
                 equal = (registers[others] == registers[i]).sum(axis=1)
                 hits = others[possible(equal, sizes[others], np.full(len(others), sizes[i]))]
+                if len(hits):
+                    hits = hits[similar_in_part(least[i], int(sizes[i]), [least[h] for h in hits], sizes[hits])]
                 left.append(np.minimum(ids[hits], ids[i]))
                 right.append(np.maximum(ids[hits], ids[i]))
         if left:
@@ -280,7 +318,10 @@ def find(docs: DataFrame, words: int = 5) -> DataFrame:
     meeting = open_.select("band", "id", "component", block.alias("block"), against).select(
         "band", "id", "component", F.least("block", "against").alias("low"), F.greatest("block", "against").alias("high")
     )
-    described = meeting.join(sets.select("id", "size", "registers"), "id")
+    wanted = open_.select("id").distinct().hint("merge")
+    smallest = known.withColumnRenamed("doc_id", "id").join(wanted, "id").mapInArrow(_least(words), "id long, least binary")
+    details = sets.select("id", "size", "registers").join(smallest.dropDuplicates(["id"]), "id")
+    described = meeting.join(details, "id")
     grouped = described.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
     rest = grouped.mapInArrow(_within_blocks, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     more = materialize(_links(known, materialize(rest, "other_pairs"), words), "other_links")

@@ -75,6 +75,47 @@ def test_byte_strings(spark, monkeypatch, keep, most_kinds):
     assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == expected
 
 
+@pytest.mark.parametrize("least", [512, 40])
+def test_smallest_shingles_lose_no_link(monkeypatch, least):
+    monkeypatch.setattr(near_duplicates, "LEAST", least)
+    chooser = np.random.default_rng(5)
+    for size in (1, 9, 40, 41, 300):
+        base = np.unique(chooser.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+        sets = [base]
+        for _ in range(60):
+            kept = base[chooser.random(len(base)) > chooser.random() / 2]
+            more = chooser.integers(0, 1 << 63, chooser.integers(1, 2 + size // 4), dtype=np.uint64) * np.uint64(2)
+            sets.append(np.unique(np.concatenate([kept, more])))
+        halves = [(s[:least] >> np.uint64(32)).astype(np.uint32) for s in sets]
+        found = near_duplicates.similar_in_part(halves[0], len(base), halves[1:], np.array([len(s) for s in sets[1:]]))
+        for other, hit in zip(sets[1:], found):
+            linked = 100 * len(np.intersect1d(base, other)) >= 80 * len(np.union1d(base, other))
+            assert hit or not linked
+            assert hit == linked or max(len(base), len(other)) > least
+
+
+def test_near_duplicates_close_to_the_threshold(spark, monkeypatch):
+    """Texts that meet in few large buckets, at similarities on both sides of the threshold, in blocks of few."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    chooser, rows = random.Random(8), []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(90):
+        copy = list(base)
+        for _ in range(chooser.randint(2, 9)):
+            copy[chooser.randrange(len(copy))] = f"x{chooser.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    sets = {i: {tuple(t.split()[j : j + 4]) for j in range(117)} for i, t in rows}
+    label, changed = {i: i for i in sets}, True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if label[b] < label[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    label[a], changed = label[b], True
+    found = {r.doc_id: r.component_id for r in near_duplicates.find(texts(spark, rows), words=4).collect()}
+    assert found == label and 1 < len(set(label.values())) < len(rows)
+
+
 def test_near_duplicates(spark):
     chooser, rows = random.Random(3), []
     for _ in range(15):
