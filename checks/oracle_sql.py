@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 DIMENSIONS = ("ProductCategory", "ProductSubcategory", "Country", "IncomeGroup", "Occupation", "TerritoryGroup")
-CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 AMOUNT = "cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2))) as decimal(18,2))"
 COST = (

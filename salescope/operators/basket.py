@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import permutations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from salescope.operators.kpi import zero_sum
 
 ORDER = "SalesOrderNumber"
 CATEGORY = "ProductCategory"
+RATES = "Anchor string, Attach string, AnchorOrders bigint, AttachedOrders bigint, AttachRate double"
 
 
 def _holds(category: str) -> Column:
@@ -71,12 +73,20 @@ def attach_analysis(df: DataFrame, anchor: str, attach: str) -> DataFrame:
     )
 
 
+def category_pairs(df: DataFrame) -> list[tuple[str, str]]:
+    """All ordered pairs of the categories that occur in orders; the categories reach the driver, one row each."""
+    found = df.where(F.col(ORDER).isNotNull() & F.col(CATEGORY).isNotNull()).select(CATEGORY).distinct()
+    return list(permutations(sorted(row[0] for row in found.collect()), 2))
+
+
 def attach_rates(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Attach rate of several configured (anchor, attach) pairs.
+    """Attach rate of several (anchor, attach) pairs.
 
     An order is reduced to one flag per category, and the pairs are counted from the flags: no order is
     joined with itself.
     """
+    if not pairs:
+        return df.sparkSession.createDataFrame([], RATES)
     categories = sorted({c for pair in pairs for c in pair})
     flag = {c: f"has_{i}" for i, c in enumerate(categories)}
     orders = df.where(F.col(ORDER).isNotNull()).groupBy(ORDER).agg(*[_holds(c).alias(flag[c]) for c in categories])

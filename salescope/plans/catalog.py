@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
-from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,6 @@ from salescope.sources.export import apply_filters, export_sales, load_export, r
 from salescope.sources.retail import DIMENSIONS, INCOME_BOUNDS, Retail
 
 AS_OF = dt.date(2002, 1, 1)
-CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 CONFIG = AnalysisConfig(
     core_dimensions=DIMENSIONS,
     context_dimensions=(),
@@ -489,7 +487,8 @@ def attach_analysis(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def attach_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(basket.attach_rates(performance(spark, folder).sales, list(permutations(CATEGORIES, 2))))
+    sales = performance(spark, folder).sales
+    return plain(basket.attach_rates(sales, basket.category_pairs(sales)))
 
 
 def revenue_outlook(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,8 +20,9 @@ CSV_OPTIONS = {
 BOM = "﻿"
 EXPORT_ORDER = ("YearMonthNumber", "Country", "ProductCategory")
 ID_COLUMNS = ("SalesOrderNumber", "CustomerKey")
-INTEGER_COLUMNS = ("CalendarYear", "YearMonthNumber", "UnitsSold")
-MONEY_COLUMNS = {"Revenue": "decimal(18,2)", "Profit": "decimal(19,2)"}
+INTEGER_COLUMNS = ("CalendarYear", "YearMonthNumber")
+# Figures as they stand in the file; exact, with room for sums over all lines.
+FIGURE_COLUMNS = {"Revenue": "decimal(28,8)", "Profit": "decimal(28,8)", "UnitsSold": "decimal(28,8)"}
 
 
 def export_sales(sales: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -52,8 +53,8 @@ def _typed(name: str) -> Column:
     value = F.col(f"`{name}`")
     if name in INTEGER_COLUMNS:
         return value.try_cast("double").try_cast("bigint").alias(name)
-    if name in MONEY_COLUMNS:
-        return value.try_cast(MONEY_COLUMNS[name]).alias(name)
+    if name in FIGURE_COLUMNS:
+        return value.try_cast(FIGURE_COLUMNS[name]).alias(name)
     return value.alias(name)
 
 

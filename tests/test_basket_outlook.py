@@ -43,6 +43,15 @@ def test_attach_rates_of_pairs(make_sales):
     assert rows[pairs[1]].AttachRate == 0.5 and rows[pairs[2]].AttachedOrders == 0
 
 
+def test_pairs_come_from_the_data(make_sales):
+    sales = orders(make_sales, *TOY, ("SO4", "Caps", 1, 1), ("SO5", None, 1, 1), (None, "Lost", 1, 1))
+    pairs = basket.category_pairs(sales)
+    assert len(pairs) == 6 and ("Caps", "Bikes") in pairs and not any("Lost" in p for p in pairs)
+    none = sales.where("false")
+    empty = basket.attach_rates(none, basket.category_pairs(none))
+    assert empty.isEmpty() and empty.dtypes == basket.attach_rates(sales, pairs).dtypes
+
+
 def series(spark, *rows):
     return spark.createDataFrame(rows, "CalendarYear bigint, Revenue double")
 

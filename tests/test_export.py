@@ -32,6 +32,11 @@ def test_names_types_and_bad_figures(spark, tmp_path):
     assert second.CustomerKey == "42"
 
 
+def test_figures_are_not_rounded(spark, tmp_path):
+    row = export.load_export(spark, write(tmp_path / "a.csv", "2013;201301;France;Bikes;10.005;-0.0625;3.7;a;b")).first()
+    assert (row.Revenue, row.Profit, row.UnitsSold) == (Decimal("10.005"), Decimal("-0.0625"), Decimal("3.7"))
+
+
 def test_filters_and_empty_result(spark, tmp_path):
     path = write(tmp_path / "a.csv", "2013;201301;France;Bikes;1;1;1;a;b", "2013;201301;Spain;Bikes;2;1;1;c;d")
     kept = export.load_export(spark, path, {"Country": "Spain", "ProductCategory": "All", "Nowhere": "x"})
