@@ -1,12 +1,15 @@
 """Benchmark decontamination by template windows, which also finds questions with other numbers, names or units.
 
-A text becomes a list of tokens: words without marks at their ends, in lower case. Numbers, units behind numbers, and
-names (capitalised words inside a sentence) become typed placeholders. Every window of ``size`` tokens of a benchmark
-item is hashed; an item with fewer tokens is one window of its own length. All windows of all documents are looked up.
+A text becomes a list of tokens: words without marks at their ends, in lower case. Han and kana are written without
+spaces, so each of their characters is a token. Numbers, units behind numbers, and names (capitalised words inside a
+sentence) become typed placeholders. Every window of ``size`` tokens of a benchmark item is hashed, with placeholders and
+as it is (twice ``size`` if most of the item is Han or kana, since a word has about two characters there); an item with
+fewer tokens is one window of its own length. All windows of all documents are looked up in both forms.
 Windows on the same diagonal (same distance between places in the document and in the item) belong together, and their
 placeholders must be consistent: one value of the item always stands for one value of the document.
 
-Windows with fewer than half literal tokens, and items of fewer than ``least`` tokens, say nothing and are not indexed.
+Windows with fewer than half literal tokens, and items of fewer than ``least`` tokens, say nothing once their
+placeholders are open: only equal words match them. So an item of one word is found in every document with that word.
 The first token of an item may be a name or not, since only there a capital depends on what stands before it.
 
 The index of the benchmark goes to the tasks in blocks of bounded size, with one pass over the documents for each block.
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.blocks import Words, binary_column, flat, per_piece, run_hashes, whole_runs
+from salescope.llm.blocks import Words, binary_column, flat, per_piece, ranges, run_hashes, whole_runs
 from salescope.llm.idstore import IdStore
 
 SIZE, LEAST = 13, 5
@@ -40,7 +43,7 @@ UNITS = frozenset(
     "kilometer kilometers kilometre kilometres mph kmh kb mb gb tb usd eur gbp".split()
 )
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th|°)?[a-z]{0,3}$")
-MARKS = "\"'`.,;:!?()[]{}<>«»“”‘’„…-–—*_#|~"
+MARKS = "\"'`.,;:!?()[]{}<>«»“”‘’„…-–—*_#|~　、。，．・：；！？「」『』（）〔〕［］｛｝〈〉《》【】～"
 WORD, NUM, NAME, UNIT, EMPTY = range(5)
 # Fixed hashes of the placeholders, by kind.
 PLACEHOLDERS = np.array([0, 0x9AE16A3B2F90404F, 0xC949C7DEFEB1F5A3, 0xB492B66FBE98F273, 0], dtype=np.uint64)
@@ -49,7 +52,7 @@ PLACEHOLDERS = np.array([0, 0x9AE16A3B2F90404F, 0xC949C7DEFEB1F5A3, 0xB492B66FBE
 def describe(word: str) -> tuple[int, bool, bool, str]:
     """Kind of a word seen alone, whether it has a name's capital, whether it ends a sentence, and the bare word."""
     bare = word.strip(MARKS)
-    ends = word.rstrip("\"'”’)]»").endswith((".", "!", "?", ":", "…"))
+    ends = word.rstrip("\"'”’)]»").endswith((".", "!", "?", ":", "…", "。", "！", "？", "："))
     if not bare:
         return EMPTY, False, ends, ""
     small = bare.lower()
@@ -58,11 +61,25 @@ def describe(word: str) -> tuple[int, bool, bool, str]:
     return (UNIT if small in UNITS else WORD), bare[0].isupper() and bare[1:] == bare[1:].lower(), ends, small
 
 
+def unspaced(data: np.ndarray) -> np.ndarray:
+    """Whether a character of Han, kana or their marks begins at each byte of UTF-8: U+3000 to U+9FFF, U+F900 to U+FAFF,
+    U+FF00 to U+FFBF, and from U+20000 on."""
+    begins = (data >= 0xE3) & (data <= 0xE9)
+    for lead, low, high in ((0xEF, 0xA4, 0xAB), (0xEF, 0xBC, 0xBE), (0xF0, 0xA0, 0xBF)):
+        places = np.flatnonzero(data[:-1] == lead)
+        begins[places] |= (data[places + 1] >= low) & (data[places + 1] <= high)
+    return begins
+
+
 class Tokens:
-    """Tokens of flat texts: template hash, value hash and whether it is a placeholder; texts are ranges in ``bounds``."""
+    """Tokens of flat texts: template hash, value hash, whether it is a placeholder, and whether it is a character of a
+    script without spaces; texts are ranges in ``bounds``."""
 
     def __init__(self, column: pa.Array, known: IdStore):
-        words = Words(*flat(column))
+        data, offsets = flat(column)
+        single = unspaced(data)
+        at = np.flatnonzero(single)
+        words = Words(data, offsets, np.concatenate((at, at + np.where(data[at] == 0xF0, 4, 3))) if len(at) else None)
         packed, offsets = words.packed()
         described, _ = known.look_up(binary_column(packed, offsets))
         described = described.reshape(-1, 4)
@@ -83,6 +100,7 @@ class Tokens:
         kind = np.where((kind == UNIT) & ~after_number, WORD, kind)
         kind = np.where((kind == WORD) & capital & ~ended, NAME, kind)
         self.open = kind != WORD
+        self.single = single[words.starts][kept]
         self.value = value
         self.template = np.where(self.open, PLACEHOLDERS[kind], value)
 
@@ -107,71 +125,103 @@ def word_store() -> IdStore:
 
 @dataclass
 class Index:
-    """Template windows of a block of benchmark items, sorted by hash within each window size."""
+    """Windows of a block of benchmark items, with placeholders and as they are, sorted by hash within each window size:
+    hash, item, offset in the item, and hash of the values."""
 
     items: np.ndarray
     bounds: np.ndarray
     value: np.ndarray
     open: np.ndarray
-    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], size: int, least: int) -> Index:
         tokens = Tokens(pa.array([text for _, text in items], pa.string()), word_store())
         counts = np.diff(tokens.bounds)
+        singles = np.diff(np.concatenate(([0], np.cumsum(tokens.single)))[tokens.bounds])
+        spans = np.minimum(counts, np.where(2 * singles > counts, 2 * size, size))
         windows = {}
-        for span in sorted({min(int(c), size) for c in counts if c >= least}):
-            fits = (counts >= span) if span == size else (counts == span)
+        for span in sorted(set(spans[spans > 0].tolist())):
             starts = whole_runs(tokens.bounds, span)
             owner = np.searchsorted(tokens.bounds, starts, side="right") - 1
-            starts, owner = starts[fits[owner]], owner[fits[owner]]
+            starts, owner = starts[spans[owner] == span], owner[spans[owner] == span]
             literal = np.concatenate(([0], np.cumsum(~tokens.open)))
-            telling = 2 * (literal[starts + span] - literal[starts]) >= span
-            starts, owner = starts[telling], owner[telling]
-            hashes = run_hashes(tokens.template, span)[starts]
-            opening = starts[starts == tokens.bounds[owner]]
+            telling = (counts[owner] >= least) & (2 * (literal[starts + span] - literal[starts]) >= span)
+            told = starts[telling]
+            opening = told[told == tokens.bounds[owner[telling]]]
             changed = tokens.template.copy()
             changed[opening] = PLACEHOLDERS[NAME]
-            places = np.concatenate((starts, opening))
+            values = run_hashes(tokens.value, span)
+            places = np.concatenate((starts, told, opening))
+            hashes = np.concatenate(
+                (values[starts], run_hashes(tokens.template, span)[told], run_hashes(changed, span)[opening])
+            )
+            order = np.lexsort((places, hashes))
+            hashes, places = hashes[order], places[order]
+            new = np.concatenate(([True], (np.diff(hashes) != 0) | (np.diff(places) != 0)))
+            hashes, places = hashes[new], places[new]
             owner = np.searchsorted(tokens.bounds, places, side="right") - 1
-            hashes = np.concatenate((hashes, run_hashes(changed, span)[opening]))
-            order = np.argsort(hashes, kind="stable")
-            windows[span] = hashes[order], owner[order], (places - tokens.bounds[owner])[order]
+            windows[span] = hashes, owner, places - tokens.bounds[owner], values[places]
         return cls(np.array([i for i, _ in items], dtype=np.int64), tokens.bounds, tokens.value, tokens.open, windows)
 
-    def hits(self, tokens: Tokens) -> Iterator[tuple[int, int, int, np.ndarray, int]]:
-        """(text, item, place of the item's start, offsets in the item, window size) for every diagonal with hits."""
-        for span, (hashes, owner, offset) in self.windows.items():
-            if not len(hashes):
-                continue
+    def hits(self, tokens: Tokens) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        """(text, item, place of the item's start) and offset in the item of every matching window, whether its values are
+        the item's, and the window size; windows of one diagonal follow each other."""
+        for span, (hashes, owner, offset, values) in self.windows.items():
             starts = whole_runs(tokens.bounds, span)
-            probes = run_hashes(tokens.template, span)[starts] if len(starts) else np.zeros(0, dtype=np.uint64)
+            if not len(starts):
+                continue
             marked = np.zeros(1 << 20, dtype=bool)
             marked[(hashes >> np.uint64(44)).astype(np.int64)] = True
-            near = np.flatnonzero(marked[(probes >> np.uint64(44)).astype(np.int64)])
-            low = np.searchsorted(hashes, probes[near], side="left")
-            high = np.searchsorted(hashes, probes[near], side="right")
-            count = high - low
-            which = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-            place = np.repeat(starts[near], count)
-            text = np.searchsorted(tokens.bounds, place, side="right") - 1
-            diagonal = place - offset[which]
-            order = np.lexsort((offset[which], diagonal, owner[which], text))
-            keys = np.stack([text[order], owner[which][order], diagonal[order]], axis=1)
-            offsets = offset[which][order]
-            if not len(keys):
+            place, which = [], []
+            for form in (tokens.template, tokens.value):
+                probes = run_hashes(form, span)[starts]
+                near = np.flatnonzero(marked[(probes >> np.uint64(44)).astype(np.int64)])
+                low = np.searchsorted(hashes, probes[near], side="left")
+                count = np.searchsorted(hashes, probes[near], side="right") - low
+                place.append(np.repeat(starts[near], count))
+                which.append(ranges(low, count))
+            place, which = np.concatenate(place), np.concatenate(which)
+            if not len(place):
                 continue
-            cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1
-            for key, found in zip(keys[np.concatenate(([0], cuts))], np.split(offsets, cuts)):
-                yield int(key[0]), int(key[1]), int(key[2]), found, span
-
-    def consistent(self, tokens: Tokens, item: int, diagonal: int, offsets: np.ndarray, span: int) -> tuple[bool, int]:
-        """Whether each open value of the item stands for one value of the document, and how many differ."""
+            text = np.searchsorted(tokens.bounds, place, side="right") - 1
+            keys = np.stack([text, owner[which], place - offset[which], offset[which]], axis=1)
+            order = np.lexsort(keys.T[::-1])
+            order = order[np.concatenate(([True], (np.diff(keys[order], axis=0) != 0).any(axis=1)))]
+            # ``probes`` is of the values here.
+            same = probes[np.searchsorted(starts, place[order])] == values[which[order]]
+            yield keys[order, :3], keys[order, 3], same, span
+
+    def judged(self, tokens: Tokens, item: int, diagonal: int, offsets: np.ndarray, same: np.ndarray, span: int) -> tuple[int, int]:
+        """Number of windows in which each open value of the item stands for one value of the document, and of values that
+        differ there."""
         places = np.unique((offsets[:, None] + np.arange(span)).ravel())
         mine, theirs = self.bounds[item] + places, diagonal + places
         both = tokens.open[theirs] & self.open[mine]
         pairs = set(zip(self.value[mine[both]].tolist(), tokens.value[theirs[both]].tolist()))
-        return len({a for a, _ in pairs}) == len(pairs), sum(a != b for a, b in pairs)
+        if len({a for a, _ in pairs}) < len(pairs):
+            return 0, 0
+        return len(offsets), sum(a != b for a, b in pairs)
+
+    def passages(self, tokens: Tokens) -> np.ndarray:
+        """Rows (text, item, windows, changed values) of every text that holds a passage of an item."""
+        found = [np.zeros((0, 4), dtype=np.int64)]
+        for keys, offsets, same, span in self.hits(tokens):
+            first = np.flatnonzero(np.concatenate(([True], (np.diff(keys, axis=0) != 0).any(axis=1))))
+            ends = np.concatenate((first[1:], [len(keys)]))
+            rows = np.zeros((len(first), 4), dtype=np.int64)
+            rows[:, :2] = keys[first, :2]
+            rows[:, 2] = np.add.reduceat(same.astype(np.int64), first)
+            for i in np.flatnonzero(rows[:, 2] < ends - first):
+                part = slice(first[i], ends[i])
+                rows[i, 2:] = self.judged(tokens, rows[i, 1], keys[first[i], 2], offsets[part], same[part], span)
+            found.append(rows[rows[:, 2] > 0])
+        rows = np.concatenate(found)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        if not len(rows):
+            return rows
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(rows[:, :2], axis=0) != 0).any(axis=1))))
+        return np.concatenate((rows[first, :2], np.maximum.reduceat(rows[:, 2:], first)), axis=1)
 
 
 def _finder(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -180,14 +230,9 @@ def _finder(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def work(piece: pa.RecordBatch) -> pa.RecordBatch | None:
         if not known:
             known.append(word_store())
-        tokens = Tokens(piece.column("text"), known[0])
-        ids = piece.column("doc_id").to_numpy(zero_copy_only=False)
-        rows = []
-        for text, item, diagonal, offsets, span in index.hits(tokens):
-            good, changed = index.consistent(tokens, item, diagonal, offsets, span)
-            if good:
-                rows.append((int(ids[text]), int(index.items[item]), len(np.unique(offsets)), changed))
-        columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]
+        rows = index.passages(Tokens(piece.column("text"), known[0]))
+        ids = piece.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        columns = [pa.array(c) for c in (ids[rows[:, 0]], index.items[rows[:, 1]], rows[:, 2], rows[:, 3])]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "n_windows", "n_changed"])
 
     return per_piece(work)
@@ -224,11 +269,8 @@ def _keeper(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def work(piece: pa.RecordBatch) -> pa.RecordBatch | None:
         if not known:
             known.append(word_store())
-        tokens = Tokens(piece.column("text"), known[0])
         clean = np.ones(len(piece), dtype=bool)
-        for text, item, diagonal, offsets, span in index.hits(tokens):
-            if clean[text] and index.consistent(tokens, item, diagonal, offsets, span)[0]:
-                clean[text] = False
+        clean[index.passages(Tokens(piece.column("text"), known[0]))[:, 0]] = False
         return piece.filter(pa.array(clean))
 
     return per_piece(work)

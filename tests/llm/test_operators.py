@@ -230,6 +230,17 @@ def test_template_windows(spark):
     assert decontaminate.find(docs, bench.limit(0)).count() == 0
 
 
+def test_verbatim_items_of_few_or_open_words(spark):
+    items = ["Who directed The Dark Knight Rises?", "17 + 24 = 41", "too short", "Ann Bob Eve Tom 1 2 3", "日本の首都はどこですか。"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, f"before it, {item} and behind") for i, item in enumerate(items)]
+    rows += [(10, "東京です。日本の首都はどこですか。そうです"), (11, "17 + 25 = 42, Ann Bob Eve Tim 1 2 3, short too, 日本の首都は"), *ODD]
+    docs = texts(spark, rows)
+    found = {(r.doc_id, r.item_id, r.n_changed) for r in decontaminate.find(docs, bench).collect()}
+    assert found == {(i, i, 0) for i in range(len(items))} | {(10, 4, 0)}
+    assert {r.doc_id for r in decontaminate.remove(docs, bench).collect()} == {11, 900, 901, 902, 903}
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
