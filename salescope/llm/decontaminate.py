@@ -6,7 +6,9 @@ sentence) become typed placeholders. Every window of ``size`` tokens of a benchm
 as it is (twice ``size`` if most of the item is Han or kana, since a word has about two characters there); an item with
 fewer tokens is one window of its own length. All windows of all documents are looked up in both forms.
 Windows on the same diagonal (same distance between places in the document and in the item) belong together, and their
-placeholders must be consistent: one value of the item always stands for one value of the document.
+placeholders must be consistent: a value of the item stands for the value of the document that it meets most often on the
+diagonal, and for none if it meets several once each. A window counts if all its values stand for what they meet, or equal
+it; a conflict elsewhere on the diagonal does not matter.
 
 Windows with fewer than half literal tokens, and items of fewer than ``least`` tokens, say nothing once their
 placeholders are open: only equal words match them. So an item of one word is found in every document with that word.
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.blocks import Words, binary_column, flat, per_piece, ranges, run_hashes, whole_runs
+from salescope.llm.blocks import Words, binary_column, covered, flat, per_piece, ranges, run_hashes, whole_runs
 from salescope.llm.idstore import IdStore
 
 SIZE, LEAST = 13, 5
@@ -193,15 +195,27 @@ class Index:
             yield keys[order, :3], keys[order, 3], same, span
 
     def judged(self, tokens: Tokens, item: int, diagonal: int, offsets: np.ndarray, same: np.ndarray, span: int) -> tuple[int, int]:
-        """Number of windows in which each open value of the item stands for one value of the document, and of values that
-        differ there."""
+        """Number of windows whose open values stand for what they meet in the document, and of values that differ there."""
         places = np.unique((offsets[:, None] + np.arange(span)).ravel())
-        mine, theirs = self.bounds[item] + places, diagonal + places
-        both = tokens.open[theirs] & self.open[mine]
-        pairs = set(zip(self.value[mine[both]].tolist(), tokens.value[theirs[both]].tolist()))
-        if len({a for a, _ in pairs}) < len(pairs):
-            return 0, 0
-        return len(offsets), sum(a != b for a, b in pairs)
+        mine, theirs = self.value[self.bounds[item] + places], tokens.value[diagonal + places]
+        both = tokens.open[diagonal + places] & self.open[self.bounds[item] + places]
+        pairs, pair, counts = np.unique(np.stack([mine[both], theirs[both]], axis=1), axis=0, return_inverse=True, return_counts=True)
+        # For each value of the item, its pairs by falling count: the first one stands, unless it and the next were met once.
+        order = np.lexsort((-counts, pairs[:, 0]))
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = np.diff(pairs[order, 0]) != 0
+        alone = first.copy()
+        alone[:-1] &= first[1:]
+        stands = np.zeros(len(order), dtype=bool)
+        stands[order] = first & (alone | (counts[order] > 1))
+        wrong = np.zeros(len(places), dtype=np.int64)
+        wrong[both] = ~stands[pair.ravel()]
+        low, high = np.searchsorted(places, offsets), np.searchsorted(places, offsets + span)
+        upto = np.concatenate(([0], np.cumsum(wrong)))
+        good = same | (upto[high] == upto[low])
+        seen = covered(low[good], (high - low)[good], len(places)) & both
+        differ = np.unique(np.stack([mine[seen], theirs[seen]], axis=1), axis=0)
+        return int(good.sum()), int((differ[:, 0] != differ[:, 1]).sum())
 
     def passages(self, tokens: Tokens) -> np.ndarray:
         """Rows (text, item, windows, changed values) of every text that holds a passage of an item."""

@@ -241,6 +241,25 @@ def test_verbatim_items_of_few_or_open_words(spark):
     assert {r.doc_id for r in decontaminate.remove(docs, bench).collect()} == {11, 900, 901, 902, 903}
 
 
+def test_a_conflict_spares_the_other_windows(spark):
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    words[5] = words[50] = "Ann"
+    often = list(words)
+    often[10:50:5] = ["Ann"] * 8
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(often))], "item_id long, text string")
+    one = [*words[:50], "Eve", *words[51:]]
+    other = ["Eve" if w == "Ann" else w for w in often]
+    other[25] = "Zoe"
+    halves = ["Eve" if w == "Ann" else w for w in often[:30]] + ["Zoe" if w == "Ann" else w for w in often[30:]]
+    each = [f"Name{chr(97 + i // 5)}" if w == "Ann" else w for i, w in enumerate(often)]
+    docs = texts(spark, [(i, " ".join(t)) for i, t in enumerate([one, other, halves, each])])
+    found = {(r.doc_id, r.item_id): (r.n_windows, r.n_changed) for r in decontaminate.find(docs, bench.where("item_id = 1")).collect()}
+    assert found[0, 1] == (38, 0)
+    found = {r.doc_id: r.n_changed for r in decontaminate.find(docs, bench.where("item_id = 2")).collect()}
+    assert found[1] == 1 and found[2] >= 1 and 3 not in found
+    assert {r.doc_id for r in decontaminate.remove(docs, bench.where("item_id = 2")).collect()} & {1, 2, 3} == {3}
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
