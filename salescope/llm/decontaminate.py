@@ -10,6 +10,9 @@ placeholders must be consistent: a value of the item stands for the value of the
 diagonal, and for none if it meets several once each. A window counts if all its values stand for what they meet, or equal
 it; a conflict elsewhere on the diagonal does not matter.
 
+Capitals tell names, so a copy in other case has other placeholders. Every window is therefore looked up in a form with
+placeholders for numbers and units only too, and words are compared without case.
+
 Windows with fewer than half literal tokens, and items of fewer than ``least`` tokens, say nothing once their
 placeholders are open: only equal words match them. So an item of one word is found in every document with that word.
 The first token of an item may be a name or not, since only there a capital depends on what stands before it.
@@ -60,7 +63,7 @@ def describe(word: str) -> tuple[int, bool, bool, str]:
     small = bare.lower()
     if NUMBER.match(small):
         return NUM, False, ends, small
-    return (UNIT if small in UNITS else WORD), bare[0].isupper() and bare[1:] == bare[1:].lower(), ends, small
+    return (UNIT if small in UNITS else WORD), bare[0].isupper() and bare[1:] == bare[1:].lower(), ends, bare.casefold()
 
 
 def unspaced(data: np.ndarray) -> np.ndarray:
@@ -74,8 +77,8 @@ def unspaced(data: np.ndarray) -> np.ndarray:
 
 
 class Tokens:
-    """Tokens of flat texts: template hash, value hash, whether it is a placeholder, and whether it is a character of a
-    script without spaces; texts are ranges in ``bounds``."""
+    """Tokens of flat texts: template hash, the same with the words of names, value hash, whether it is a placeholder, and
+    whether it is a character of a script without spaces; texts are ranges in ``bounds``."""
 
     def __init__(self, column: pa.Array, known: IdStore):
         data, offsets = flat(column)
@@ -105,6 +108,7 @@ class Tokens:
         self.single = single[words.starts][kept]
         self.value = value
         self.template = np.where(self.open, PLACEHOLDERS[kind], value)
+        self.uncased = np.where(kind == NAME, value, self.template)
 
 
 def word_store() -> IdStore:
@@ -147,16 +151,23 @@ class Index:
             starts = whole_runs(tokens.bounds, span)
             owner = np.searchsorted(tokens.bounds, starts, side="right") - 1
             starts, owner = starts[spans[owner] == span], owner[spans[owner] == span]
-            literal = np.concatenate(([0], np.cumsum(~tokens.open)))
-            telling = (counts[owner] >= least) & (2 * (literal[starts + span] - literal[starts]) >= span)
-            told = starts[telling]
-            opening = told[told == tokens.bounds[owner[telling]]]
+            long = starts[counts[owner] >= least]
+            told, named = (
+                long[2 * (literal[long + span] - literal[long]) >= span]
+                for literal in (np.concatenate(([0], np.cumsum(form == tokens.value))) for form in (tokens.template, tokens.uncased))
+            )
+            opening = told[np.isin(told, tokens.bounds)]
             changed = tokens.template.copy()
             changed[opening] = PLACEHOLDERS[NAME]
             values = run_hashes(tokens.value, span)
-            places = np.concatenate((starts, told, opening))
+            places = np.concatenate((starts, told, opening, named))
             hashes = np.concatenate(
-                (values[starts], run_hashes(tokens.template, span)[told], run_hashes(changed, span)[opening])
+                (
+                    values[starts],
+                    run_hashes(tokens.template, span)[told],
+                    run_hashes(changed, span)[opening],
+                    run_hashes(tokens.uncased, span)[named],
+                )
             )
             order = np.lexsort((places, hashes))
             hashes, places = hashes[order], places[order]
@@ -176,7 +187,7 @@ class Index:
             marked = np.zeros(1 << 20, dtype=bool)
             marked[(hashes >> np.uint64(44)).astype(np.int64)] = True
             place, which = [], []
-            for form in (tokens.template, tokens.value):
+            for form in (tokens.template, tokens.uncased, tokens.value):
                 probes = run_hashes(form, span)[starts]
                 near = np.flatnonzero(marked[(probes >> np.uint64(44)).astype(np.int64)])
                 low = np.searchsorted(hashes, probes[near], side="left")

@@ -260,6 +260,16 @@ def test_a_conflict_spares_the_other_windows(spark):
     assert {r.doc_id for r in decontaminate.remove(docs, bench.where("item_id = 2")).collect()} & {1, 2, 3} == {3}
 
 
+def test_copies_in_other_case(spark):
+    item = "Am Montag kauft der Bauer Hans auf dem Markt in Köln 12 Säcke Korn für die Straße am Rhein und 7 km Draht"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    copies = [item.lower(), item.upper(), item.title(), item.lower().replace("12", "30").replace("7 km", "9 miles")]
+    docs = texts(spark, [(i, f"so: {t}") for i, t in enumerate([item, *copies])] + [(9, item.lower().replace(" der ", " die ")[:60])])
+    found = {r.doc_id: r.n_changed for r in decontaminate.find(docs, bench).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 0, 4: 3}
+    assert {r.doc_id for r in decontaminate.remove(docs, bench).collect()} == {9}
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
