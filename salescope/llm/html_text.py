@@ -7,7 +7,9 @@ links alone, and c, lc are C and LC of the body. The density of a node is
 
 with 1 for a count of zero. Sums of the children's densities point to the subtree with the main text: the largest sum
 wins. The smallest density on the way from the body to that node is the threshold; every node that reaches it gives its
-own subtree with the largest sum. A chosen node inside an ``article`` or ``main`` element stands for that element.
+own subtree with the largest sum. A chosen node inside an ``article`` or ``main`` element stands for that element. The
+subtree with the largest sum is always kept. If it lies in such an element, only such elements are; if it holds some with
+most of its text and nothing else in it reaches the threshold, they stand for it.
 
 Parts that are never main text go before: scripts, styles, menus, page headers and footers, sidebars, forms, hidden
 parts, and parts whose class, id or role names a notice, advert, menu or reader comments.
@@ -200,15 +202,24 @@ def _chosen(tree: _Tree, gone: list[bool]) -> set[int]:
         threshold = min(threshold, density[i])
     inside_body = [i for i in kept if i >= body]
     found = {below[i] for i in inside_body if density[i] >= threshold and chars[below[i]]} | {best}
-    raised = set()
-    for i in found:
-        top, up = i, i
-        while up > 0:
-            top = up if tree.tag[up] in MAIN else top
-            up = tree.parent[up]
-        raised.add(top)
-    mains = {i for i in raised if tree.tag[i] in MAIN}
-    return mains or raised
+    def raised(i: int) -> int:
+        top = i
+        while i > 0:
+            top = i if tree.tag[i] in MAIN else top
+            i = tree.parent[i]
+        return top
+
+    tops = {raised(i) for i in found}
+    mains = {i for i in tops if tree.tag[i] in MAIN}
+    if raised(best) in mains:
+        return mains
+    inside = [False] * n
+    for i in kept[1:]:
+        inside[i] = tree.parent[i] == best or inside[tree.parent[i]]
+    held = {i for i in mains if inside[i]}
+    if 2 * sum(chars[i] for i in held) > chars[best] and all(i in held or not inside[i] for i in tops):
+        return tops - {best}
+    return tops
 
 
 def main_text(html: str | None) -> str:

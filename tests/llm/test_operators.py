@@ -288,6 +288,18 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_main_text_keeps_the_densest_part_beside_article_cards():
+    words = " ".join(["storyword"] * 44)
+    linked = f"<p>{words} <a href='/x'>twenty letters here</a></p>"
+    story = f"<div><p>{words}</p>{linked}<p>{words}</p>{linked}{linked}</div>"
+    card = f"<article><p>{' '.join(['teaser'] * 40)}</p></article>"
+    assert html_text.main_text(f"<body>{story}{card}</body>").count("storyword") == 5 * 44
+    assert html_text.main_text(f"<body>{story.replace('</div>', card + '</div>')}</body>").count("storyword") == 5 * 44
+    # An article with nearly all of the text still stands for what holds it.
+    page = f"<body><div><article><p>{words}</p></article><div><a href='/y'>more of it</a></div></div></body>"
+    assert html_text.main_text(page) == words
+
+
 def test_toxicity_learns_stems_and_needs_both_labels(spark):
     chooser = random.Random(8)
     plain = ["".join(chooser.choice("abcdefghij") for _ in range(6)) for _ in range(200)]
