@@ -12,7 +12,10 @@ subtree with the largest sum is always kept. If it lies in such an element, only
 most of its text and nothing else in it reaches the threshold, they stand for it.
 
 Parts that are never main text go before: scripts, styles, menus, page headers and footers, sidebars, forms, hidden
-parts, and parts whose class, id or role names a notice, advert, menu or reader comments.
+parts, and parts whose class, id or role names a notice, advert, menu or reader comments. Only whole words of a class or id
+count, or joined ones that all are such names. An element so named stays, as a wrapper, if it holds the largest ``article``
+or ``main``; so does one, unless named for comments, with more text than these that holds the subtree with the largest sum
+or most of the text. If no text is left otherwise, class and id do not count.
 
 Character references are decoded. White space in a block becomes one space, blocks are joined by a line feed in page
 order. A NULL, empty or text-free page has empty text. Rows do not influence each other, so repeated pages have
@@ -55,12 +58,15 @@ DROPPED = frozenset(
     "applet aside audio button canvas datalist dialog embed footer form head iframe input map math menu nav noscript object "
     "script select style svg template textarea title video".split()
 )
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|breadcrumbs?|byline-share|captcha|comments?|commentlist|consent|cookies?|"
-    r"disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|paywall|"
-    r"popup|promo\w*|related|replies|respond|share|sharing|sidebar|skip|social|sponsor\w*|subscribe|toolbar|widgets?)(?=$|[\s_-])",
-    re.IGNORECASE,
+COMMENTS = r"(?:comments?|commentlist|disqus|replies|respond)"
+NAME = (
+    r"(?:ads?|advert[a-z0-9]*|adbox|adslot|banner|breadcrumbs?|byline-share|captcha|consent|cookies?|"
+    r"footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|pagination|paywall|"
+    r"popup|promo[a-z0-9]*|related|share|sharing|sidebar|skip|social|sponsor[a-z0-9]*|subscribe|toolbar|widgets?)"
 )
+PART = rf"(?:{NAME}|{COMMENTS}|\d+)"
+# A whole word of a class or id; the group is there if it names comments.
+NAMED = re.compile(rf"(?:^|(?<=\s))(?=\S*[a-z])(?:(?=\S*?{COMMENTS}(?![a-z0-9]))(?P<comments>)|){PART}(?:[_-]{PART})*(?=$|\s)", re.IGNORECASE)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 MAIN = frozenset(("article", "main"))
 
@@ -71,6 +77,8 @@ class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.dropped = ["#page"], [-1], [False]
+        # Names of unwanted parts, for each node: none, one, or one of comments.
+        self.named = [0]
         self.open = [0]
         # Texts in page order with their nodes; None ends a block.
         self.texts: list[tuple[int, str | None]] = []
@@ -103,6 +111,7 @@ class _Tree(HTMLParser):
         self.tag.append(tag)
         self.parent.append(self.open[-1])
         self.dropped.append(self._unwanted(tag, attrs))
+        self.named.append(0 if tag in MAIN or tag in ("html", "body") else self._names(attrs))
         if tag not in VOID:
             self.open.append(len(self.tag) - 1)
 
@@ -141,8 +150,6 @@ class _Tree(HTMLParser):
                 return True
             if name == "role" and value.lower() in ROLES:
                 return True
-            if name in ("class", "id") and tag not in MAIN and NAMED.search(value):
-                return True
             if name == "class" and tag in MAIN and re.search(r"(?:^|[\s_-])comment", value, re.IGNORECASE):
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
@@ -150,6 +157,11 @@ class _Tree(HTMLParser):
         return False
 
 
+    def _names(self, attrs: list[tuple[str, str | None]]) -> int:
+        found = [m for name, value in attrs if name in ("class", "id") for m in NAMED.finditer(value or "")]
+        return 2 if any(m["comments"] is not None for m in found) else int(bool(found))
+
+
 def _density(c: int, t: int, lc: int, lt: int, body_c: int, body_lc: int) -> float:
     """Composite density of a node; a node that is all links has none."""
     if c == 0:
@@ -160,8 +172,8 @@ def _density(c: int, t: int, lc: int, lt: int, body_c: int, body_lc: int) -> flo
     return c / t * score / math.log(base) if base > 1 else c / t * score
 
 
-def _chosen(tree: _Tree, gone: list[bool]) -> set[int]:
-    """The nodes whose subtrees hold the main text."""
+def _measured(tree: _Tree, gone: list[bool]) -> tuple[list[int], list[float], list[int], int]:
+    """Characters and density of each node, the node of its subtree with the largest sum, and the body."""
     n = len(tree.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -193,6 +205,48 @@ def _chosen(tree: _Tree, gone: list[bool]) -> set[int]:
         up = tree.parent[i]
         if sums[below[i]] > sums[below[up]]:
             below[up] = below[i]
+    return chars, density, below, body
+
+
+def _below(tree: _Tree, dropped: list[bool]) -> list[bool]:
+    """Which nodes lie in dropped ones."""
+    gone = [False] * len(tree.tag)
+    for i in range(1, len(gone)):
+        gone[i] = dropped[i] or gone[tree.parent[i]]
+    return gone
+
+
+def _way(tree: _Tree, i: int) -> set[int]:
+    """A node and all that hold it."""
+    way = set()
+    while i >= 0:
+        way.add(i)
+        i = tree.parent[i]
+    return way
+
+
+def _without_named(tree: _Tree, gone: list[bool]) -> list[bool]:
+    """``gone`` with the elements named as unwanted, except those that wrap the main text."""
+    named = [i for i in range(1, len(gone)) if tree.named[i] and not gone[i]]
+    if not named:
+        return gone
+    chars, _, below, body = _measured(tree, gone)
+    largest = max((i for i in range(len(gone)) if tree.tag[i] in MAIN and not gone[i]), key=chars.__getitem__, default=0)
+    best, wraps = _way(tree, below[body]), _way(tree, largest)
+    within = _below(tree, [i == largest and i > 0 for i in range(len(gone))])
+    dropped = list(gone)
+    for i in named:
+        most = i in best or 2 * chars[i] > chars[body]
+        rival = (chars[largest] if largest else 0) // (2 if within[i] else 1)
+        dropped[i] = not (i in wraps and chars[largest] or tree.named[i] == 1 and most and chars[i] > rival)
+    return _below(tree, dropped)
+
+
+def _chosen(tree: _Tree, gone: list[bool]) -> set[int]:
+    """The nodes whose subtrees hold the main text."""
+    n = len(tree.tag)
+    kept = [i for i in range(n) if not gone[i]]
+    chars, density, below, body = _measured(tree, gone)
     best = below[body]
     if not chars[best]:
         return set()
@@ -227,10 +281,11 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
-    gone = [False] * len(tree.tag)
-    for i in range(1, len(tree.tag)):
-        gone[i] = tree.dropped[i] or gone[tree.parent[i]]
+    always = _below(tree, tree.dropped)
+    gone = _without_named(tree, always)
     chosen = _chosen(tree, gone)
+    if not chosen and gone != always:
+        gone, chosen = always, _chosen(tree, always)
     inside = [i in chosen for i in range(len(tree.tag))]
     for i in range(1, len(tree.tag)):
         inside[i] = (inside[i] or inside[tree.parent[i]]) and not gone[i]

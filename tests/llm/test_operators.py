@@ -300,6 +300,26 @@ def test_main_text_keeps_the_densest_part_beside_article_cards():
     assert html_text.main_text(page) == words
 
 
+@pytest.mark.parametrize(
+    "wrapper", ["content-sidebar-wrap", "has-sidebar", "no-sidebar", "with-comments", "page sidebar", "widget", "comments"]
+)
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_main_text_in_a_wrapper_named_like_an_unwanted_part(wrapper, tag):
+    text = "<h1>The headline</h1></div><p>One long paragraph of the story.</p><p>Another one of the story.</p>"
+    story = f"<{tag}><div class='entry-header article-header'>{text}</{tag}>"
+    around = "<div class='cookie-notice'><p>We use cookies.</p></div><div class='ad-banner widget_2'>Buy it</div>"
+    page = f"<body><div class='{wrapper}' id='x'>{story}{around}</div></body>"
+    assert html_text.main_text(page).split("\n")[-2:] == ["One long paragraph of the story.", "Another one of the story."]
+    assert "The headline" in html_text.main_text(page) or tag == "div"
+
+
+def test_main_text_leaves_long_comments_out():
+    comments = "<p>I like this story very much, thank you.</p>" * 20
+    for story in ("<article><p>The story.</p><p>Its end.</p></article>", "<div><p>The story.</p><p>Its end.</p></div>"):
+        page = f"<body>{story}<div id='comments' class='comment-list'>{comments}</div></body>"
+        assert html_text.main_text(page) == "The story.\nIts end."
+
+
 def test_toxicity_learns_stems_and_needs_both_labels(spark):
     chooser = random.Random(8)
     plain = ["".join(chooser.choice("abcdefghij") for _ in range(6)) for _ in range(200)]
