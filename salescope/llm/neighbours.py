@@ -108,6 +108,10 @@ class _Search:
         self.scores = np.full((len(queries), k), LOWEST, dtype=np.int64)
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max, dtype=np.int64)
         self.worst = [-np.inf] * len(self.query_tree.centre)
+        self.above = [-1] * len(self.worst)
+        for node, children in enumerate(self.query_tree.children):
+            for child in children:
+                self.above[child] = node
         self._visit(0, 0)
 
     def _bound(self, a: int, b: int) -> float:
@@ -117,7 +121,8 @@ class _Search:
         return bound + 1e-9 * abs(bound) + 1e-6
 
     def _visit(self, a: int, b: int) -> None:
-        """Pairs from the largest bound on; a query node's worst k-th score is taken anew where its leaves change."""
+        """Pairs from the largest bound on; the worst k-th score of a query node and of all above it is taken anew where a
+        leaf changes."""
         q, d = self.query_tree, self.data_tree
         open_ = [(self._bound(a, b), a, b)]
         while open_:
@@ -144,6 +149,11 @@ class _Search:
             self._merge(rows[hit_row], self.data_ids[part[hit_column]], scores[hit_row, hit_column])
         last = self.scores[rows, -1].min()
         self.worst[a] = float(last) if last > LOWEST else -np.inf
+        while (a := self.above[a]) >= 0:
+            least = min(self.worst[child] for child in self.query_tree.children[a])
+            if least == self.worst[a]:
+                break
+            self.worst[a] = least
 
     def _merge(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """Put new results among the best k of their queries."""

@@ -219,6 +219,19 @@ def test_top_k_with_ties_and_unusable_vectors(spark):
     assert {tuple(r) for r in neighbours.top_k(df, F.col("id") % 50 == 0).collect()} == expected
 
 
+def test_groups_of_queries_know_their_worst_score():
+    maker = np.random.default_rng(7)
+    data, ids = maker.integers(-99, 100, size=(1500, 3)), np.arange(1500)
+    search = neighbours._Search(ids, data, ids, data, 3)
+    scores = data @ data.T
+    np.fill_diagonal(scores, neighbours.LOWEST)
+    assert (search.scores == np.sort(scores, axis=1)[:, :-4:-1]).all()
+    tree = search.query_tree
+    assert tree.children[0]
+    for node, worst in enumerate(search.worst):
+        assert worst == search.scores[tree.points_below(node), -1].min()
+
+
 def test_template_windows(spark):
     item = "Tom has 5 apples and gives 3 km of apples to Ann before Tom eats 5 pears today with joy."
     changed = "So: Bob has 7 apples and gives 9 miles of apples to Eve before Bob eats 7 pears today with joy."
