@@ -38,4 +38,37 @@ with whole as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
-ORACLE = {"op2_chat_formatting": CHAT, "op10_nearest_vectors": NEAREST}
+MIXTURE = r"""
+with rows as (
+    select doc_id, coalesce(source, '') as source, source is null as nameless,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
+        substr(md5(coalesce(cast(doc_id as varchar), '') || case when text is null then '' else chr(10) || text end), 1, 15) as key
+    from documents
+), sources as (
+    select source, nameless, cast(sum(size) as bigint) as source_size,
+        case (row_number() over (order by nameless, source) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
+    from rows group by source, nameless
+), filled as (
+    select *, coalesce(sum(3 * source_size) over earlier, 0) as full_before, coalesce(sum(weight) over earlier, 0) as spent,
+        sum(source_size) over () as words, sum(weight) over () as weights
+    from sources
+    window earlier as (order by cast(source_size as double) / weight, nameless, source rows between unbounded preceding and 1 preceding)
+), targets as (
+    select source, nameless, source_size,
+        least(cast(3 * source_size as double),
+            max(cast(words - full_before as double) / cast(weights - spent as double)) over () * weight) as target
+    from filled
+), budgets as (
+    select *, least(3 * source_size, cast(floor(target + 0.5) as bigint)) as budget from targets
+), placed as (
+    select *, cast(coalesce(sum(size) over (partition by source, nameless order by key, doc_id, size
+        rows between unbounded preceding and 1 preceding), 0) as bigint) as before
+    from rows
+)
+select doc_id, size, source_size, target,
+    case when source_size = 0 then 0
+        else (budget // source_size) * size + greatest(0, least(size, budget % source_size - before)) end as taken
+from placed join budgets using (source, nameless)
+"""
+
+ORACLE = {"op12_source_mixture": MIXTURE, "op2_chat_formatting": CHAT, "op10_nearest_vectors": NEAREST}

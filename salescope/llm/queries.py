@@ -13,8 +13,11 @@ from salescope.llm import (
     chat,
     decontaminate,
     html_text,
+    mixing,
     near_duplicates,
     neighbours,
+    repair,
+    runs,
     substring,
     suffix_array,
     token_ids,
@@ -88,6 +91,19 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.top_k(table(spark, folder, "embeddings"), F.col("id") % 50 == 0, 5)
 
 
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.find(runs.looped_tail(table(spark, folder, "documents"))))
+
+
+def source_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).drop("source")
+
+
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.digests(repair.damaged(rows), rows)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": passages,
@@ -100,6 +116,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_page_texts": page_texts,
         "op9_byte_bpe": byte_bpe,
         "op10_nearest_vectors": nearest_vectors,
+        "op11_periodic_runs": periodic_runs,
+        "op12_source_mixture": source_mixture,
+        "op13_conversation_repair": conversation_repair,
     }
 
 
