@@ -30,7 +30,7 @@ from salescope.sources.scratch import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 2_000
 KEY_BITS = 60
 
 
