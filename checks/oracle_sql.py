@@ -366,7 +366,33 @@ def report_facts() -> str:
         unpivot(
             "revenue_outlook", "olf", ["NextYear", "CAGR", "LinearNext", "CagrNext", "Low", "High"], ["Volatile"], digits=2
         ),
+        unpivot(
+            "chart_year_bars",
+            "(select *, cast(Revenue as double) / 1e6 as RevenueM from months where cast(Revenue as double)"
+            " >= 0.05::double * (select cast(max(Revenue) as double) from months))",
+            ["RevenueM"], segment="CalendarYear",
+        ),
+        unpivot("chart_share", "charted", ["RevenueM", "SharePct"], **keys),
+        unpivot(
+            "opportunity_matrix", "matrix", ["RevenueM", "MarginPct", "MedianRevenueM", "GlobalMarginPct", "BubbleSize"],
+            ["IsPriority"], **keys,
+        ),
+        unpivot(
+            "concentration", "(select * from hist where rank = 1)", ["Revenue", "RevenueShare"], dimension="dimension",
+            segment="segment",
+        ),
     ]
+    charted = "dimension in ('ProductCategory', 'Country', 'Occupation')"
+    ctes += [
+        "charted as (select *, cast(Revenue as double) / 1e6 as RevenueM, RevenueShare * 100 as SharePct"
+        f" from ({ranked('segk', 'Revenue desc', 6, charted)}))",
+        "shown as (select *, cast(Revenue as double) / 1e6 as RevenueM from segk where dimension = 'ProductCategory'"
+        " and MarginPct is not null order by Revenue desc, segment limit 10)",
+        "matrix as (select * exclude (med, gm, best), row_number() over (order by Revenue desc, segment) as rank,"
+        " med as MedianRevenueM, gm as GlobalMarginPct, cast(Revenue as double) / cast(best as double) * 520 + 90 as BubbleSize,"
+        " RevenueM >= med and MarginPct >= gm as IsPriority from shown, (select median(RevenueM) as med, max(Revenue) as best,"
+        " (select sum(Profit)::double / sum(Revenue)::double from s) as gm from shown))",
+    ]
     return with_(*ctes) + " union all ".join(parts)
 
 
@@ -376,9 +402,11 @@ def report_text() -> str:
     money = """'Revenue', 'Profit', 'AOV', 'RevPerCustomer', 'RevenueLatest', 'RevenuePrevious', 'RevenuePrior',
       'AvgAttachBasket', 'AddressableRevenue', 'AddressableProfit', 'LinearNext', 'CagrNext', 'Low', 'High'"""
     percent = """'MarginPct', 'MarginDelta', 'RevenueShare', 'RevenueYoY', 'ProfitYoY', 'OrdersYoY', 'CustomersYoY',
-      'YoY', 'LatestVsPrevious', 'LatestVsPrior', 'AttachRate', 'AttachMargin', 'CAGR'"""
+      'YoY', 'LatestVsPrevious', 'LatestVsPrior', 'AttachRate', 'AttachMargin', 'CAGR', 'GlobalMarginPct'"""
     return f"""select section, dimension, rank, segment, metric, coalesce(text,
       case when kind in ({money}) then {whole} || ' €' when kind in ({percent}) then format('{{:.1f}}', value * 100) || '%'
+        when kind in ('RevenueM', 'MedianRevenueM') then format('{{:,.1f}}', value) || 'M €'
+        when kind = 'SharePct' then format('{{:.0f}}', value) || '%'
         when kind = 'NextYear' then cast(cast(value as bigint) as varchar) else {whole} end, 'N/A') as display
       from (select *, {kind} as kind from ({report_facts()}))"""
 
@@ -449,6 +477,24 @@ def dq_summary() -> str:
     return with_(SALES, CALENDAR) + " union all ".join(parts)
 
 
+def business_signal() -> str:
+    """Both years side by side in one grouping per dimension."""
+
+    def at(year: str, measure: str) -> str:
+        return f"sum({measure}) filter (CalendarYear = {year})"
+
+    parts = " union all ".join(
+        f"select '{d}' as dimension, {d} as segment, {at('ly', 'Revenue')} as cur, {at('py', 'Revenue')} as prev,"
+        f" {at('ly', 'Profit')} as profit from s, pair where CalendarYear in (ly, py) group by {d}"
+        f" having count(*) filter (CalendarYear = ly) > 0"
+        for d in DIMENSIONS
+    )
+    known = "case when cast(prev as double) >= cast(0.05 as double) * cast(cur as double) then "
+    return PERIOD + f""", compared as ({parts}),
+rates as (select dimension, segment, {known} {change("cur", "prev")} end as g, {ratio("profit", "cur")} as m from compared)
+select dimension, segment, {r("g")} as RevenueYoY, {r("m")} as MarginPct, {signal_case("g", "m")} as signal from rates"""
+
+
 def rebound_segments() -> str:
     year = "sum(Revenue) filter (CalendarYear = {})"
     measures = (
@@ -575,8 +621,7 @@ ORACLE: dict[str, str] = {
     "growth_status": YOY + f"select dimension, segment, {col('RevenueYoY')}, GrowthStatus as status from yoy",
     "margin_status": KPI
     + f"select dimension, segment, {col('MarginPct')}, {margin_case('MarginPct')} as status from segk",
-    "business_signal": YOY + f"""select dimension, segment, {cols("OrdersYoY", "MarginPct")},
-      {signal_case("OrdersYoY", "MarginPct")} as signal from yoy""",
+    "business_signal": business_signal(),
     "signal_distribution": YOY + distribution(),
     "flag_counts": YOY + """select count(*) filter (RiskFlag) as RiskSegments,
       count(*) filter (OpportunityFlag) as OpportunitySegments from yoy""",

@@ -30,3 +30,14 @@ def percent(value: Column | str) -> Column:
     """One decimal, no thousands separator, half-even."""
     points = F.format_number(as_column(value).cast("double") * 100, 1)
     return F.coalesce(F.concat(F.replace(points, F.lit(","), F.lit("")), F.lit("%")), F.lit(MISSING))
+
+
+def millions(value: Column | str, currency: str) -> Column:
+    """A figure in millions with one decimal."""
+    number = F.format_number(as_column(value).cast("double"), 1)
+    return F.coalesce(F.concat(number, F.lit("M " + currency)), F.lit(MISSING))
+
+
+def points(value: Column | str) -> Column:
+    """Whole percentage points, of a share that is in percent already."""
+    return F.coalesce(F.concat(F.format_number(as_column(value).cast("double"), 0), F.lit("%")), F.lit(MISSING))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import permutations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,14 +72,31 @@ def attach_analysis(df: DataFrame, anchor: str, attach: str) -> DataFrame:
     )
 
 
-def category_pairs(df: DataFrame) -> list[tuple[str, str]]:
-    """All ordered pairs of the categories that occur in orders; the categories reach the driver, one row each."""
-    found = df.where(F.col(ORDER).isNotNull() & F.col(CATEGORY).isNotNull()).select(CATEGORY).distinct()
-    return list(permutations(sorted(row[0] for row in found.collect()), 2))
+def attach_matrix(df: DataFrame) -> DataFrame:
+    """Attach rate of every ordered pair of categories that meet in an order.
+
+    An order is reduced to its sorted set of categories, the set to its pairs, and pairs are counted in every task before
+    they are shuffled; a category paired with itself counts its orders. Each pair is made in one order and read in both.
+    """
+    known = df.where(F.col(ORDER).isNotNull() & F.col(CATEGORY).isNotNull())
+    sets = known.groupBy(ORDER).agg(F.sort_array(F.collect_set(CATEGORY)).alias("categories"))
+    firsts = sets.select("categories", F.posexplode("categories").alias("place", "first"))
+    seconds = F.slice("categories", F.col("place") + 1, F.size("categories") - F.col("place"))
+    pairs = firsts.select("first", F.explode(seconds).alias("second"))
+    counts = pairs.groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"))
+    both = F.array(
+        F.struct(F.col("first").alias("Anchor"), F.col("second").alias("Attach")),
+        F.struct(F.col("second").alias("Anchor"), F.col("first").alias("Attach")),
+    )
+    ordered = counts.select(F.col("n").alias("AttachedOrders"), F.inline(both)).where("Anchor <> Attach")
+    anchors = counts.where("first = second").select(F.col("first").alias("Anchor"), F.col("n").alias("AnchorOrders"))
+    return ordered.join(anchors, "Anchor").select(
+        "Anchor", "Attach", "AnchorOrders", "AttachedOrders", ratio("AttachedOrders", "AnchorOrders").alias("AttachRate")
+    )
 
 
 def attach_rates(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Attach rate of several (anchor, attach) pairs.
+    """Attach rate of some chosen (anchor, attach) pairs, zero for those that never meet.
 
     An order is reduced to one flag per category, and the pairs are counted from the flags: no order is
     joined with itself.

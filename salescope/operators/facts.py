@@ -30,6 +30,7 @@ SALES_RAW_COLUMNS = (
     "SalesOrderNumber",
     "CustomerKey",
 )
+ORDER_KEY = "SalesOrderNumber"
 CUSTOMER_ATTRIBUTES = ("IncomeGroup", "AgeGroup", "Gender", "Occupation", "HouseOwnerFlag")
 
 
@@ -69,26 +70,42 @@ def calendar_columns() -> list[Column]:
     ]
 
 
-def star_join(
-    sales: DataFrame, dates: DataFrame, products: DataFrame, customers: DataFrame, territories: DataFrame
-) -> DataFrame:
-    """Enriched fact from the views: every sales line once, NULL attributes where a key has no match."""
+def priced(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales lines with the attributes of their product and their additive measures."""
+    known = products.select("ProductKey", "ProductCategory", "ProductSubcategory")
+    return lookup(lines, known, "ProductKey").withColumns(
+        {"Revenue": F.col("SalesAmount"), "Profit": line_profit(), "UnitsSold": F.col("OrderQuantity")}
+    )
+
+
+def described(rows: DataFrame, dates: DataFrame, customers: DataFrame, territories: DataFrame) -> DataFrame:
+    """Order headers, or lines that carry the keys of their header, with period, customer and territory attributes."""
     period = dates.select("DateKey", "CalendarYear", "CalendarQuarter", "MonthNumberOfYear", "MonthName")
-    joined = lookup(sales, period, "OrderDateKey", "DateKey")
-    joined = lookup(joined, products.select("ProductKey", "ProductCategory", "ProductSubcategory"), "ProductKey")
+    joined = lookup(rows, period, "OrderDateKey", "DateKey")
     joined = lookup(joined, customers.select("CustomerKey", *CUSTOMER_ATTRIBUTES), "CustomerKey")
     joined = lookup(joined, territories, "SalesTerritoryKey")
-    return joined.select(
-        *calendar_columns(),
-        "TerritoryGroup",
-        "Country",
-        "Region",
-        "ProductCategory",
-        "ProductSubcategory",
-        *CUSTOMER_ATTRIBUTES,
-        F.col("SalesAmount").alias("Revenue"),
-        line_profit().alias("Profit"),
-        F.col("OrderQuantity").alias("UnitsSold"),
-        "SalesOrderNumber",
-        F.col("CustomerKey").cast("string").alias("CustomerKey"),
-    )
+    return joined.select(*rows.columns, *calendar_columns(), "TerritoryGroup", "Country", "Region", *CUSTOMER_ATTRIBUTES)
+
+
+def enriched(joined: DataFrame) -> DataFrame:
+    """The columns of the enriched fact, from lines with all attributes."""
+    return joined.withColumn("CustomerKey", F.col("CustomerKey").cast("string")).select(*SALES_RAW_COLUMNS)
+
+
+def star_join(
+    sales: DataFrame,
+    dates: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    territories: DataFrame,
+    headers: DataFrame | None = None,
+) -> DataFrame:
+    """Every sales line once with its keys, measures and attributes; NULL attributes where a key has no match.
+
+    With ``headers`` (SalesOrderNumber and the keys of date, customer and territory, one row per order) those are described
+    first, and each line is shuffled by its product and its order only. Otherwise the lines carry these keys themselves.
+    """
+    lines = priced(sales, products)
+    if headers is None:
+        return described(lines, dates, customers, territories)
+    return lookup(lines, described(headers, dates, customers, territories), ORDER_KEY)

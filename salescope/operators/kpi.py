@@ -1,6 +1,9 @@
 """Key figures at any grain: additive sums and exact distinct counts of orders and customers.
 
 Orders and customers are always counted again at the wanted grain, never added up. NULL ids are not counted.
+
+Counts at many grains come from one table of bitmaps, ``segment_bitmaps``: per segment and period the ids as bits in words
+of 64, beside the sums. Unions of words give the figures of any union of segments or periods without the lines.
 """
 
 from __future__ import annotations
@@ -12,13 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.ratios import ratio
-from salescope.sources.scratch import materialize
 
 SUMS = ("Revenue", "Profit", "UnitsSold")
 DISTINCTS = {"Orders": "SalesOrderNumber", "Customers": "CustomerKey"}
 MEASURES = (*SUMS, *DISTINCTS)
-# Bits of a bigint that can stand for segments, one of them kept for NULL.
-MASK_BITS = 62
+# Ids per word, and buckets of ids per shuffle partition.
+WORD_BITS = 64
+BUCKETS_PER_PARTITION = 4
 
 
 def zero_sum(value: Column | str) -> Column:
@@ -31,9 +34,19 @@ def additive_aggregates() -> list[Column]:
 
 
 def kpis(df: DataFrame, *by: str) -> DataFrame:
-    """The five measures, globally or per group; a NULL group value is a group of its own."""
-    distincts = [F.count_distinct(F.col(source)).alias(name) for name, source in DISTINCTS.items()]
-    return df.groupBy(*by).agg(*additive_aggregates(), *distincts)
+    """The five measures, globally or per group; a NULL group value is a group of its own.
+
+    Lines collapse to one row per group and id, on the map side too, and those rows are counted: no line is repeated per
+    distinct count. The order ids carry the sums, so the lines are read once per id column.
+    """
+    parts = []
+    for name, source in DISTINCTS.items():
+        sums = SUMS if name == "Orders" else ()
+        keyed = df.withColumn("__id", F.col(source)).groupBy(*by, "__id")
+        per_id = keyed.agg(F.count(F.lit(1)).alias("__lines"), *[F.sum(m).alias(m) for m in sums])
+        parts.append(per_id.groupBy(*by).agg(F.count("__id").alias(name), *[F.sum(m).alias(m) for m in sums]))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return both.groupBy(*by).agg(*[zero_sum(m).alias(m) for m in MEASURES])
 
 
 def with_ratios(df: DataFrame) -> DataFrame:
@@ -81,108 +94,60 @@ def additive_by_segment(df: DataFrame, dimensions: Sequence[str], period: Sequen
     return repeated.groupBy("dimension", "segment", *period).agg(*[F.sum(m).alias(m) for m in SUMS])
 
 
-def small_dictionaries(segments: DataFrame) -> dict[str, list[str | None]]:
-    """Segment values of every dimension with at most ``MASK_BITS`` of them.
+def _id_words(lines: DataFrame, measure: str, slots: Mapping[str, str], period: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Bitmaps of one id column: (measure, dimension, segment, period, bucket, word, bits, sums).
 
-    At most ``MASK_BITS`` + 1 rows per dimension reach the driver; a dimension that fills them is left out.
-    """
-    values = segments.select("dimension", "segment").distinct()
-    order = Window.partitionBy("dimension").orderBy("segment")
-    first = values.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= MASK_BITS + 1)
-    found: dict[str, list[str | None]] = {}
-    for row in first.select("dimension", "segment").collect():
-        found.setdefault(row.dimension, []).append(row.segment)
-    return {d: v for d, v in found.items() if len(v) <= MASK_BITS}
-
-
-def _distinct_by_mask(
-    ids: DataFrame, slots: Mapping[str, str], dictionaries: Mapping[str, Sequence[str | None]], period: Sequence[str]
-) -> DataFrame:
-    """Distinct ids where every dimension has few segments.
-
-    An id carries one number per dimension with a bit for each segment it occurs in; NULL takes the bit after
-    the known values. The numbers merge on the map side and an id is shuffled once for all dimensions. Equal
-    numbers are then counted before their bits are taken apart.
+    Lines collapse to combinations of id, segments and period first. Ids are then dealt into buckets by hash and numbered
+    within their bucket in order, so neighbours in a word are neighbours in id; an id that holds much of the fact is as
+    many rows as it has combinations. The words of a bucket are made where its ids were numbered, without a shuffle.
     """
-    known = {d: [v for v in dictionaries[d] if v is not None] for d in slots}
-    values = {d: F.array(*[F.lit(v) for v in known[d]]).cast("array<string>") for d in slots}
+    source = DISTINCTS[measure]
+    keys = lines.select(source, *period, *slots.values(), *sums).groupBy(source, *period, *slots.values())
+    combined = keys.agg(*[F.sum(m).alias(m) for m in sums]) if sums else keys.count().drop("count")
+    buckets = BUCKETS_PER_PARTITION * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = combined.withColumn("bucket", F.pmod(F.xxhash64(source), F.lit(buckets))).repartition("bucket")
+    place = F.dense_rank().over(Window.partitionBy("bucket").orderBy(source)) - 1
     one = F.lit(1).cast("bigint")
-
-    def bit(dimension: str) -> Column:
-        segment = F.col(slots[dimension])
-        position = (F.array_position(values[dimension], segment) - 1).cast("int")
-        null_bit = F.lit(1 << len(known[dimension])).cast("bigint")
-        unknown = F.raise_error(F.concat(F.lit(f"segment of {dimension} is not in its dictionary: "), segment)).cast("bigint")
-        known_bit = F.when(position < 0, unknown).otherwise(F.call_function("shiftleft", one, position))
-        return F.when(segment.isNull(), null_bit).otherwise(known_bit)
-
-    per_id = ids.groupBy("__id", *period).agg(*[F.bit_or(bit(d)).alias(slot) for d, slot in slots.items()])
-    masks = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("__mask")) for d, slot in slots.items()]
-    per_mask = (
-        per_id.select(*period, F.inline(F.array(*masks)))
-        .groupBy("dimension", "__mask", *period)
-        .agg(F.count(F.lit(1)).alias("__ids"))
-    )
-    bits = per_mask.select("*", F.explode(F.sequence(F.lit(0), F.lit(MASK_BITS))).alias("__bit"))
-    per_bit = (
-        bits.where("(shiftright(__mask, __bit) & 1) = 1")
-        .groupBy("dimension", "__bit", *period)
-        .agg(F.sum("__ids").alias("__n"))
+    bit = F.when(F.col(source).isNotNull(), F.call_function("shiftleft", one, (F.col("__place") % WORD_BITS).cast("int")))
+    segments = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("segment")) for d, slot in slots.items()]
+    placed = dealt.withColumn("__place", place).withColumn("__bit", bit)
+    word = F.expr(f"__place div {WORD_BITS}").alias("word")
+    repeated = placed.select(*period, "bucket", word, "__bit", *sums, F.inline(F.array(*segments)))
+    words = repeated.groupBy("dimension", "segment", *period, "bucket", "word").agg(
+        F.bit_or("__bit").alias("bits"), *[F.sum(m).alias(m) for m in sums]
     )
-    segment = F
-    for d in slots:
-        segment = segment.when(F.col("dimension") == F.lit(d), F.get(values[d], F.col("__bit")))
-    return per_bit.select("dimension", segment.alias("segment"), *period, "__n")
+    return words.withColumn("measure", F.lit(measure))
 
 
-def _distinct_by_pair(ids: DataFrame, slots: Mapping[str, str], period: Sequence[str]) -> DataFrame:
-    """Distinct ids for any number of segments: each id once per dimension, segment and period."""
-    segments = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("segment")) for d, slot in slots.items()]
-    pairs = ids.select("__id", *period, F.inline(F.array(*segments))).distinct()
-    return pairs.groupBy("dimension", "segment", *period).agg(F.count(F.lit(1)).alias("__n"))
-
-
-def distinct_by_segment(
-    df: DataFrame,
-    id_column: str,
-    dimensions: Sequence[str],
-    period: Sequence[str] = (),
-    name: str = "n",
-    dictionaries: Mapping[str, Sequence[str | None]] | None = None,
-) -> DataFrame:
-    """Exact distinct ids per (dimension, segment, period).
-
-    Dimensions in ``dictionaries`` (see ``small_dictionaries``) are counted with bit masks, the others from
-    (id, segment) pairs. Both combine on the map side, so an id that holds much of the fact stays small.
+def segment_bitmaps(df: DataFrame, dimensions: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
+    """Orders and customers per (dimension, segment, period) as bitmaps, with the sums.
+
+    One row per word of 64 ids that occur there: ``measure`` names the id, (``bucket``, ``word``) are the same for an id
+    in all segments and periods, ``bits`` has a bit for each id. Sums stand beside the words of the orders, those of lines
+    without an order id in words without bits. The fact is read once per id column. Store the result, several figures
+    are read from it.
     """
-    dictionaries = dictionaries or {}
-    ids, id_value = df.where(F.col(id_column).isNotNull()), F.col(id_column).alias("__id")
-    coded = [d for d in dimensions if d in dictionaries]
-    others = [d for d in dimensions if d not in dictionaries]
-    parts = []
-    if coded:
-        slots = _slots(coded)
-        parts.append(_distinct_by_mask(_narrow(ids, slots, *period, id_value), slots, dictionaries, period))
-    if others:
-        slots = _slots(others)
-        parts.append(_distinct_by_pair(_narrow(ids, slots, *period, id_value), slots, period))
-    counted = reduce(DataFrame.unionByName, parts)
-    return counted.select("dimension", "segment", *period, F.col("__n").alias(name))
+    slots = _slots(dimensions)
+    lines = _narrow(df, slots, *period, *DISTINCTS.values(), *SUMS)
+    parts = [_id_words(lines, name, slots, period, SUMS if name == "Orders" else ()) for name in DISTINCTS]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def segment_totals(df: DataFrame, dimensions: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
-    """The five measures per (dimension, segment, period) for several dimensions.
+def figures(bitmaps: DataFrame, *by: str) -> DataFrame:
+    """The five measures of ``segment_bitmaps`` per group of its key columns.
 
-    The fact is read once for the sums, which are stored and also tell which dimensions have few segments, and
-    once per id column, each time only the columns needed; pass a stored fact rather than an unfinished join.
+    Words that meet in a group are united before their bits are counted. An id occurs in every dimension, so keep to one
+    dimension, or group by it.
     """
-    keys = ("dimension", "segment", *period)
-    sums = materialize(additive_by_segment(df, dimensions, period), "segment_sums")
-    small = small_dictionaries(sums)
-    parts = [sums]
-    parts += [distinct_by_segment(df, source, dimensions, period, name, small) for name, source in DISTINCTS.items()]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.groupBy(*keys).agg(*[zero_sum(m).alias(m) for m in MEASURES])
+    united = bitmaps.groupBy(*by, "measure", "bucket", "word").agg(F.bit_or("bits").alias("bits"), *[F.sum(m).alias(m) for m in SUMS])
+    ids = F.bit_count("bits").cast("bigint")
+    counts = [zero_sum(F.when(F.col("measure") == name, ids)).alias(name) for name in DISTINCTS]
+    return united.groupBy(*by).agg(*additive_aggregates(), *counts)
+
+
+def segment_totals(df: DataFrame, dimensions: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
+    """The five measures per (dimension, segment, period) for several dimensions."""
+    return figures(segment_bitmaps(df, dimensions, period), "dimension", "segment", *period)
 
 
 def segment_kpis(totals: DataFrame) -> DataFrame:
@@ -190,22 +155,16 @@ def segment_kpis(totals: DataFrame) -> DataFrame:
     return with_share(with_ratios(totals))
 
 
-def segment_totals_grouping_sets(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """The same totals as one GROUPING SETS query: shorter, but each line is repeated per set and distinct.
+def segment_kpis_grouping_sets(totals: DataFrame) -> DataFrame:
+    """The same from GROUPING SETS over the segment totals: one pass gives the segments and the total of their dimension.
 
-    ``grouping`` tells a NULL segment from a rolled-up column.
+    ``grouping`` tells a NULL segment from a rolled-up one.
     """
-    slots = _slots(dimensions)
-    lines = _narrow(df, slots, *SUMS, *DISTINCTS.values())
-    distincts = [F.count_distinct(F.col(source)).alias(name) for name, source in DISTINCTS.items()]
-    marks = [F.grouping(slot).alias(f"{slot}_out") for slot in slots.values()]
-    sets = lines.groupingSets([[F.col(slot)] for slot in slots.values()], *[F.col(s) for s in slots.values()])
-    grouped = sets.agg(*additive_aggregates(), *distincts, *marks)
-    dimension, segment = F, F
-    for d, slot in slots.items():
-        dimension = dimension.when(F.col(f"{slot}_out") == 0, F.lit(d))
-        segment = segment.when(F.col(f"{slot}_out") == 0, F.col(slot))
-    return grouped.select(dimension.alias("dimension"), segment.alias("segment"), *MEASURES)
+    sets = totals.groupingSets([[F.col("dimension"), F.col("segment")], [F.col("dimension")]], F.col("dimension"), F.col("segment"))
+    grouped = sets.agg(*[F.sum(m).alias(m) for m in MEASURES], F.grouping("segment").alias("__total"))
+    whole = grouped.where("__total = 1").select("dimension", F.col("Revenue").alias("__whole"))
+    shared = grouped.where("__total = 0").join(F.broadcast(whole), "dimension")
+    return with_ratios(shared.withColumn("RevenueShare", ratio("Revenue", "__whole")).drop("__total", "__whole"))
 
 
 def validation_totals(sales: DataFrame) -> DataFrame:
@@ -241,15 +200,20 @@ def sales_by_year(sales: DataFrame, dates: DataFrame) -> DataFrame:
     return yearly.withColumn("MarginRate", ratio("Profit", "Revenue")).orderBy("CalendarYear")
 
 
+def control_metrics() -> dict[str, Column]:
+    """Rows, year range, revenue and profit, as aggregates."""
+    return {
+        "Row_Count": F.count(F.lit(1)),
+        "MinYear": F.min("CalendarYear"),
+        "MaxYear": F.max("CalendarYear"),
+        "TotalRevenue": F.sum("Revenue"),
+        "TotalProfit": F.sum("Profit"),
+    }
+
+
 def control_totals(sales_raw: DataFrame) -> DataFrame:
-    """Rows, year range, revenue and profit, to reconcile the fact before and after an export."""
-    return sales_raw.agg(
-        F.count(F.lit(1)).alias("Row_Count"),
-        F.min("CalendarYear").alias("MinYear"),
-        F.max("CalendarYear").alias("MaxYear"),
-        F.sum("Revenue").alias("TotalRevenue"),
-        F.sum("Profit").alias("TotalProfit"),
-    )
+    """The control metrics of the fact, to reconcile it before and after an export."""
+    return sales_raw.agg(*[value.alias(name) for name, value in control_metrics().items()])
 
 
 def preview(sales_raw: DataFrame, order: Sequence[str], n: int = 100) -> DataFrame:

@@ -74,8 +74,12 @@ def at_year(value: Column | str, year: int, year_column: str = YEAR) -> Column:
 
 
 def headline_yoy(df: DataFrame, latest: int, previous: int) -> DataFrame:
-    """(measure, Latest, Previous, YoY) for the five measures, and both margins."""
-    yearly = kpis(in_years(df, latest, previous), YEAR)
+    """The headline of two years of lines."""
+    return headline(kpis(in_years(df, latest, previous), YEAR), latest, previous)
+
+
+def headline(yearly: DataFrame, latest: int, previous: int) -> DataFrame:
+    """(measure, Latest, Previous, YoY) for the five measures, and both margins, from the measures per year."""
     wide = yearly.agg(
         *[at_year(m, latest).alias(m) for m in MEASURES],
         *[at_year(m, previous).alias(f"{m}LY") for m in MEASURES],

@@ -1,4 +1,8 @@
-"""Data-quality checks: each gives rows or counts; ``summary`` states pass or fail."""
+"""Data-quality checks: each gives rows or counts; ``summary`` states pass or fail.
+
+Figures over all rows of a fact are aggregates that can be observed while it is written (``fact_metrics``). Keys are
+checked by counting both sides of a relationship in one tagged group-by (``key_profile``).
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 
 # (fact, key, dimension, dimension key) and optionally a weight column
 Relationship = tuple
+PROFILE = "Relationship string, k string, fact bigint, dimension bigint"
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -66,12 +71,37 @@ def orphans(
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("Orphans"))
 
 
-def orphan_counts(checks: Mapping[str, Relationship]) -> DataFrame:
-    return _union(
-        [orphans(*check).select(F.lit(name).alias("Relationship"), "Orphans") for name, check in checks.items()]
+def key_profile(relationships: Mapping[str, Relationship]) -> DataFrame:
+    """(Relationship, FactRows, DimensionRows, DimensionKeys, DuplicateKeys, Orphans) of several relationships.
+
+    Keys of both sides, tagged with their side, meet in one group-by, so uniqueness of the dimension key and orphans of the
+    fact come from the same pass. Every task sends a key once per side, however many rows hold it. A NULL key of the fact
+    is an orphan. Keys are compared as text.
+    """
+    spark = next(iter(relationships.values()))[0].sparkSession
+    # So that a relationship without rows has a row.
+    parts = [spark.createDataFrame([(name, None, 0, 0) for name in relationships], PROFILE)]
+    none = F.lit(0).cast("bigint")
+    for name, (fact, key, dimension, dimension_key, *weight) in relationships.items():
+        rows = F.col(weight[0]).cast("bigint") if weight and weight[0] else F.lit(1).cast("bigint")
+        for df, column, counted in ((fact, key, (rows, none)), (dimension, dimension_key, (none, F.lit(1).cast("bigint")))):
+            sides = [n.alias(side) for n, side in zip(counted, ("fact", "dimension"))]
+            parts.append(df.select(F.lit(name).alias("Relationship"), F.col(column).cast("string").alias("k"), *sides))
+    keys = _union(parts).groupBy("Relationship", "k").agg(F.sum("fact").alias("fact"), F.sum("dimension").alias("dimension"))
+    absent = (F.col("dimension") == 0) | F.col("k").isNull()
+    return keys.groupBy("Relationship").agg(
+        F.sum("fact").alias("FactRows"),
+        F.sum("dimension").alias("DimensionRows"),
+        F.count_if(F.col("dimension") > 0).alias("DimensionKeys"),
+        F.count_if(F.col("dimension") > 1).alias("DuplicateKeys"),
+        F.coalesce(F.sum(F.when(absent, F.col("fact"))), F.lit(0)).cast("bigint").alias("Orphans"),
     )
 
 
+def orphan_counts(checks: Mapping[str, Relationship]) -> DataFrame:
+    return key_profile(checks).select("Relationship", "Orphans")
+
+
 def anomaly_rules(amount: str = "SalesAmount", cost: str = "TotalProductCost", quantity: str = "OrderQuantity"):
     return {
         "negative_amount": F.col(amount) < 0,
@@ -90,6 +120,18 @@ def anomaly_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return df.agg(*counts, F.count_if(reduce(Column.__or__, rules.values())).alias("any_rule"))
 
 
+def fact_metrics(required: Sequence[str], rules: Mapping[str, Column]) -> dict[str, Column]:
+    """Rows, NULLs per required column, rows per broken rule and rows with any broken rule, as aggregates."""
+    missing = {f"Missing_{c}": F.count_if(F.col(c).isNull()) for c in required}
+    broken = {name: F.count_if(rule) for name, rule in rules.items()}
+    return {
+        "TotalRows": F.count(F.lit(1)),
+        **missing,
+        **broken,
+        "any_rule": F.count_if(reduce(Column.__or__, rules.values())),
+    }
+
+
 def date_range(dates: DataFrame, column: str = "FullDate") -> DataFrame:
     return dates.agg(
         F.min(column).alias("MinDate"), F.max(column).alias("MaxDate"), F.count(F.lit(1)).alias("DateRows")
@@ -101,68 +143,93 @@ def missing_attributes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(reduce(Column.__or__, [F.col(c).isNull() for c in columns]))
 
 
-def grain(df: DataFrame, *key: str) -> DataFrame:
-    """Rows against distinct keys. The key is a struct: no separator clashes, and a NULL part still counts."""
-    return df.agg(
-        F.count(F.lit(1)).alias("TotalRows"), F.count_distinct(F.struct(*key)).alias("DistinctOrderLines")
-    )
-
-
-def finding(check: str, target: str, df: DataFrame, observed: Column, passed: Column) -> DataFrame:
-    return df.select(
-        F.lit(check).alias("check"),
-        F.lit(target).alias("target"),
-        observed.cast("bigint").alias("observed"),
-        F.coalesce(passed, F.lit(False)).alias("passed"),
+def line_profile(df: DataFrame, *key: str) -> DataFrame:
+    """(TotalRows, DistinctOrderLines, RepeatedLines) of a composite key; a NULL part is a value like others."""
+    lines = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    return lines.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("TotalRows"),
+        F.count(F.lit(1)).alias("DistinctOrderLines"),
+        F.count_if(F.col("n") > 1).alias("RepeatedLines"),
     )
 
 
-def _per_column(check: str, counts: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """One finding per count column; zero passes."""
-    rows = F.array(
-        *[F.struct(F.lit(t).alias("target"), F.col(c).cast("bigint").alias("observed")) for c, t in columns.items()]
-    )
-    found = counts.select(F.inline(rows))
-    return found.select(
-        F.lit(check).alias("check"), "target", "observed", (F.col("observed") == 0).alias("passed")
-    )
+def grain(df: DataFrame, *key: str) -> DataFrame:
+    """Rows against distinct keys."""
+    return line_profile(df, *key).select("TotalRows", "DistinctOrderLines")
+
+
+def findings(df: DataFrame, *rows: tuple[str, str | Column, Column, Column]) -> DataFrame:
+    """(check, target, observed, passed) rows of each row of ``df``; those without a target are left out."""
+    made = [
+        F.struct(
+            F.lit(check).alias("check"),
+            (F.lit(target) if isinstance(target, str) else target).alias("target"),
+            observed.cast("bigint").alias("observed"),
+            F.coalesce(passed, F.lit(False)).alias("passed"),
+        )
+        for check, target, observed, passed in rows
+    ]
+    return df.select(F.inline(F.array(*made))).where("target IS NOT NULL")
 
 
 def summary(
-    tables: Mapping[str, DataFrame],
-    fact: DataFrame,
+    fact: str,
+    metrics: DataFrame,
     required: Sequence[str],
-    keys: Mapping[tuple[str, str], DataFrame],
+    rules: Mapping[str, Column],
     relationships: Mapping[str, Relationship],
+    unique: Mapping[str, tuple[str, str]],
+    lines: DataFrame,
     line_key: Sequence[str],
-    rules: Mapping[str, Column],
     dates: DataFrame,
     date_attributes: Sequence[str],
 ) -> DataFrame:
-    """All checks as (check, target, observed, passed)."""
-    counts = row_counts(tables)
+    """All checks as (check, target, observed, passed).
+
+    ``metrics`` is the row of ``fact_metrics`` over the fact. ``unique`` gives (table, key) of the relationships whose
+    dimension is counted and must have unique keys. Lines are read once, dates once, and every relationship once.
+    """
+
+    def zero(check: str, target: str | Column, observed: Column) -> tuple[str, str | Column, Column, Column]:
+        return check, target, observed, observed == 0
+
+    def named(values: Mapping[str, str]) -> Column:
+        found = F.lit(None).cast("string")
+        for name, value in values.items():
+            found = F.when(F.col("Relationship") == name, F.lit(value)).otherwise(found)
+        return found
+
+    tables = named({name: table for name, (table, _) in unique.items()})
+    keys = named({name: f"{table}.{key}" for name, (table, key) in unique.items()})
+    line, blank = "+".join(line_key), reduce(Column.__or__, [F.col(c).isNull() for c in date_attributes])
+    days = dates.agg(
+        F.min("FullDate").alias("first"),
+        F.max("FullDate").alias("last"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(blank).alias("blank"),
+    )
     parts = [
-        counts.select(
-            F.lit("row_count").alias("check"),
-            F.col("TableName").alias("target"),
-            F.col("Row_Count").alias("observed"),
-            (F.col("Row_Count") > 0).alias("passed"),
+        findings(
+            metrics,
+            ("row_count", fact, F.col("TotalRows"), F.col("TotalRows") > 0),
+            *[zero("null_values", c, F.col(f"Missing_{c}")) for c in required],
+            *[zero("anomalies", name, F.col(name)) for name in rules],
+        ),
+        findings(
+            key_profile(relationships),
+            ("row_count", tables, F.col("DimensionRows"), F.col("DimensionRows") > 0),
+            zero("duplicate_keys", keys, F.col("DuplicateKeys")),
+            zero("orphans", F.col("Relationship"), F.col("Orphans")),
+        ),
+        findings(
+            line_profile(lines, *line_key),
+            zero("duplicate_lines", line, F.col("RepeatedLines")),
+            zero("grain", line, F.col("TotalRows") - F.col("DistinctOrderLines")),
+        ),
+        findings(
+            days,
+            zero("date_gaps", "FullDate", F.datediff("last", "first") + 1 - F.col("n")),
+            zero("date_nulls", "+".join(date_attributes), F.col("blank")),
         ),
-        _per_column("null_values", null_counts(fact, required), {f"Missing_{c}": c for c in required}),
-        _per_column("anomalies", anomaly_counts(fact, rules), {name: name for name in rules}),
     ]
-    for (table, key), df in keys.items():
-        duplicated = duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(finding("duplicate_keys", f"{table}.{key}", duplicated, F.col("n"), F.col("n") == 0))
-    for name, check in relationships.items():
-        parts.append(finding("orphans", name, orphans(*check), F.col("Orphans"), F.col("Orphans") == 0))
-    repeated = duplicate_keys(fact, *line_key).agg(F.count(F.lit(1)).alias("n"))
-    parts.append(finding("duplicate_lines", "+".join(line_key), repeated, F.col("n"), F.col("n") == 0))
-    lines = grain(fact, *line_key).select((F.col("TotalRows") - F.col("DistinctOrderLines")).alias("n"))
-    parts.append(finding("grain", "+".join(line_key), lines, F.col("n"), F.col("n") == 0))
-    days = date_range(dates)
-    gap = F.col("ExpectedDays") - F.col("DateRows")
-    parts.append(finding("date_gaps", "FullDate", days, gap, gap == 0))
-    blank = missing_attributes(dates, date_attributes).agg(F.count(F.lit(1)).alias("n"))
-    parts.append(finding("date_nulls", "+".join(date_attributes), blank, F.col("n"), F.col("n") == 0))
     return _union(parts)

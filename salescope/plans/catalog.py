@@ -12,11 +12,13 @@ from salescope.config import AnalysisConfig, Thresholds
 from salescope.functions import bands, labels
 from salescope.operators import basket, dimensions, facts, kpi, outlook, periods, quality, ranking, segments
 from salescope.operators.report import displayed, formatted_kpis
-from salescope.plans.performance import RANKED, SEGMENT_FIGURES, Performance
+from salescope.plans.performance import RANKED, SEGMENT_FIGURES, Performance, store_sales
 from salescope.session import tune
 from salescope.sources import scratch
+from salescope.sources.buckets import store_bucketed
 from salescope.sources.export import apply_filters, export_sales, load_export, require_rows
 from salescope.sources.retail import DIMENSIONS, INCOME_BOUNDS, Retail
+from salescope.sources.star import raw_schema
 
 AS_OF = dt.date(2002, 1, 1)
 CONFIG = AnalysisConfig(
@@ -37,24 +39,79 @@ RATIO_COLUMNS = {
 AMOUNT_COLUMNS = {"AOV", "RevPerCustomer", "AvgAttachBasket"}
 COARSE_COLUMNS = {"AddressableRevenue", "AddressableProfit", "LinearNext", "CagrNext", "Low", "High"}
 
-_analyses: dict[tuple[str, str], Performance] = {}
-_sales: dict[tuple[str, str], DataFrame] = {}
+Key = tuple[str, str]
+_parts: dict[Key, tuple[DataFrame, DataFrame]] = {}
+_facts: dict[Key, tuple[DataFrame, DataFrame]] = {}
+_analyses: dict[Key, Performance] = {}
+_dates: dict[Key, DataFrame] = {}
+
+
+def _key(spark: SparkSession, folder: str) -> Key:
+    return spark.sparkContext.applicationId, folder
+
+
+def order_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Lines with their product and headers with their attributes, stored in the same buckets of orders."""
+    key = _key(spark, folder)
+    if key not in _parts:
+        retail = Retail(spark, folder)
+        lines = facts.priced(retail.line_items(), dimensions.product_dimension(retail.products()))
+        headers = facts.described(
+            retail.headers(),
+            calendar(spark, folder),
+            customer_view(retail),
+            dimensions.territory_dimension(retail.territories()),
+        )
+        _parts[key] = store_bucketed(lines, "lines", facts.ORDER_KEY), store_bucketed(headers, "headers", facts.ORDER_KEY)
+    return _parts[key]
+
+
+def sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sales line with keys, measures and attributes: all forms of the fact are columns of this."""
+    lines, headers = order_parts(spark, folder)
+    joined = dimensions.lookup(lines, headers, facts.ORDER_KEY)
+    return joined.select(*facts.SALES_RAW_COLUMNS, *[c for c in joined.columns if c not in facts.SALES_RAW_COLUMNS])
+
+
+def stored_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``sales``, stored once by year, and the figures gathered meanwhile for the checks and control totals."""
+    key = _key(spark, folder)
+    if key not in _facts:
+        metrics = quality.fact_metrics(REQUIRED, quality.anomaly_rules())
+        _facts[key] = store_sales(sales(spark, folder), metrics)
+    return _facts[key]
 
 
 def performance(spark: SparkSession, folder: str) -> Performance:
     """The analysis of a folder. Its stored fact and segment tables serve all queries of the application."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = _key(spark, folder)
     if key not in _analyses:
-        _analyses[key] = Performance(Retail(spark, folder).sales_raw(), CONFIG)
+        fact, totals = stored_sales(spark, folder)
+        _analyses[key] = Performance(raw_form(fact), CONFIG, totals)
     return _analyses[key]
 
 
+def raw_form(fact: DataFrame) -> DataFrame:
+    """The enriched fact as far as the given tables have its columns."""
+    return facts.enriched(fact).drop("AgeGroup", "Gender", "HouseOwnerFlag", "Region")
+
+
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw sales lines of a folder, stored once for the checks and validation totals of the application."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _sales:
-        _sales[key] = scratch.materialize(Retail(spark, folder).sales(), "raw_sales")
-    return _sales[key]
+    """The raw sales lines of the stored fact."""
+    return stored_sales(spark, folder)[0].select(*raw_schema("sales").names)
+
+
+def raw_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The row of figures that was gathered while the sales were stored."""
+    return stored_sales(spark, folder)[1]
+
+
+def calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """The date view of a folder, a row per day, stored once."""
+    key = _key(spark, folder)
+    if key not in _dates:
+        _dates[key] = scratch.materialize(Retail(spark, folder).dates(), "calendar")
+    return _dates[key]
 
 
 def plain(df: DataFrame, *columns: str) -> DataFrame:
@@ -145,11 +202,11 @@ def sales_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(facts.sales_fact(Retail(spark, folder).sales()).drop("PromotionKey"))
+    return plain(facts.sales_fact(sales(spark, folder)).drop("PromotionKey"))
 
 
 def sales_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(Retail(spark, folder).sales_raw())
+    return plain(raw_form(sales(spark, folder)))
 
 
 def star_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,12 +214,12 @@ def star_join(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
     joined = facts.star_join(
         facts.sales_fact(retail.sales()),
-        retail.dates(),
+        calendar(spark, folder),
         dimensions.product_dimension(retail.products()),
         customer_view(retail),
         dimensions.territory_dimension(retail.territories()),
     )
-    return plain(joined.drop("AgeGroup", "Gender", "HouseOwnerFlag", "Region"))
+    return plain(raw_form(joined))
 
 
 def active_filters(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,57 +242,60 @@ LINE_KEY = ("SalesOrderNumber", "SalesOrderLineNumber")
 DATE_ATTRIBUTES = ("CalendarYear", "MonthNumberOfYear", "MonthYear")
 
 
-def quality_tables(retail: Retail) -> dict[str, DataFrame]:
-    """Views whose rows are counted; columns are pruned, so the counts read no dimension attributes."""
-    return {
-        "vw_Sales": retail.lines(),
-        "vw_Product": retail.products(),
-        "vw_Customer": retail.customers(),
-        "vw_Date": retail.dates(),
-        "vw_Territory": retail.territories(),
-    }
-
-
 def unique_keys(retail: Retail) -> dict[tuple[str, str], DataFrame]:
     return {
         ("vw_Product", "ProductKey"): retail.products(),
         ("vw_Customer", "CustomerKey"): retail.customers(),
-        ("vw_Date", "DateKey"): retail.dates(),
+        ("vw_Date", "DateKey"): calendar(retail.spark, retail.folder),
         ("vw_Territory", "SalesTerritoryKey"): retail.territories(),
     }
 
 
+# Relationships whose dimension has a key of its own.
+UNIQUE = {
+    "Sales_Without_Product": ("vw_Product", "ProductKey"),
+    "Sales_Without_Customer": ("vw_Customer", "CustomerKey"),
+    "Sales_Without_Date": ("vw_Date", "DateKey"),
+    "Sales_Without_Territory": ("vw_Territory", "SalesTerritoryKey"),
+}
+
+
 def relationships(retail: Retail, sales: DataFrame) -> dict[str, quality.Relationship]:
-    """Sales against each dimension, and orders against sales. ``sales`` is read four times: pass it stored."""
+    """Sales against each dimension, and orders against sales. ``sales`` is read once for each: pass it stored."""
     orders = retail.orders().select(F.col("OrderKey").cast("string").alias("OrderNumber"))
-    return {
-        "Sales_Without_Product": (sales, "ProductKey", retail.products(), "ProductKey"),
-        "Sales_Without_Customer": (sales, "CustomerKey", retail.customers(), "CustomerKey"),
-        "Sales_Without_Date": (sales, "OrderDateKey", retail.dates(), "DateKey"),
-        "Sales_Without_Territory": (sales, "SalesTerritoryKey", retail.territories(), "SalesTerritoryKey"),
-        "Orders_Without_Sales": (orders, "OrderNumber", sales, "SalesOrderNumber"),
+    dimensions_ = unique_keys(retail)
+    fact_keys = {"vw_Date": "OrderDateKey"}
+    checks = {
+        name: (sales, fact_keys.get(table, key), dimensions_[table, key], key) for name, (table, key) in UNIQUE.items()
     }
+    return {**checks, "Orders_Without_Sales": (orders, "OrderNumber", sales, "SalesOrderNumber")}
 
 
 def dq_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.row_counts(quality_tables(Retail(spark, folder)))
+    """Rows of the views; those of the sales are known since they were stored."""
+    sales = raw_metrics(spark, folder).select(F.lit("vw_Sales").alias("TableName"), F.col("TotalRows").alias("Row_Count"))
+    views = {table: df for (table, _), df in unique_keys(Retail(spark, folder)).items()}
+    return sales.unionByName(quality.row_counts(views))
 
 
 def dq_null_counts(spark: SparkSession, folder: str) -> DataFrame:
     """NULLs of the sales columns over all orders, so orders without lines show as missing values.
 
-    The lines stay the streamed side of their join, where a hot order can be split; orders without lines are
-    added from an anti join on distinct order keys.
+    The lines were counted while they were stored; orders without lines are added from an anti join on their keys.
     """
-    retail = Retail(spark, folder)
-    orders = retail.orders()
-    lines = retail.lines().withColumn("SalesOrderNumber", F.col("OrderKey").cast("string"))
-    sold = dimensions.lookup(lines, orders, "OrderKey")
-    unsold = orders.join(lines.select("OrderKey").distinct(), "OrderKey", "left_anti")
-    return quality.null_counts(
-        sold.unionByName(unsold, allowMissingColumns=True),
-        ["SalesOrderNumber", "ProductKey", "CustomerKey", "OrderDate", "SalesAmount"],
+    columns = {
+        "SalesOrderNumber": "SalesOrderNumber", "ProductKey": "ProductKey", "CustomerKey": "CustomerKey",
+        "OrderDate": "OrderDateKey", "SalesAmount": "SalesAmount",
+    }
+    sold = raw_metrics(spark, folder).select(
+        "TotalRows", *[F.col(f"Missing_{source}").alias(f"Missing_{name}") for name, source in columns.items()]
     )
+    orders = Retail(spark, folder).orders().withColumn("Sold", F.col("OrderKey").cast("string"))
+    known = raw_sales(spark, folder).select(F.col("SalesOrderNumber").alias("Sold")).distinct()
+    absent = [F.lit(None).cast("string").alias(c) for c in ("SalesOrderNumber", "ProductKey", "SalesAmount")]
+    unsold = orders.join(known, "Sold", "left_anti").select("CustomerKey", "OrderDate", *absent)
+    both = sold.unionByName(quality.null_counts(unsold, list(columns)))
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
 
 
 def dq_key_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
@@ -268,7 +328,7 @@ def dq_sales_anomaly_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_anomaly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.anomaly_counts(sales_view(spark, folder), quality.anomaly_rules())
+    return raw_metrics(spark, folder).select(*quality.anomaly_rules(), "any_rule")
 
 
 def dq_date_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -286,17 +346,17 @@ def dq_grain(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_summary(spark: SparkSession, folder: str) -> DataFrame:
-    retail = Retail(spark, folder)
-    fact = raw_sales(spark, folder)
+    retail, fact = Retail(spark, folder), raw_sales(spark, folder)
     return quality.summary(
-        {**quality_tables(retail), "vw_Sales": fact},
-        fact,
+        "vw_Sales",
+        raw_metrics(spark, folder),
         REQUIRED,
-        unique_keys(retail),
+        quality.anomaly_rules(),
         relationships(retail, fact),
+        UNIQUE,
+        fact,
         LINE_KEY,
-        quality.anomaly_rules(),
-        retail.dates(),
+        calendar(spark, folder),
         DATE_ATTRIBUTES,
     )
 
@@ -313,7 +373,7 @@ def sales_by_year(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def control_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(kpi.control_totals(performance(spark, folder).sales))
+    return plain(performance(spark, folder).totals)
 
 
 def load_export_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -336,12 +396,8 @@ def months_per_year(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def segment_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    sales = performance(spark, folder).sales
-    by_category = kpi.kpis(sales, "ProductCategory").withColumnRenamed("ProductCategory", "segment")
-    totals = by_category.withColumn("dimension", F.lit("ProductCategory"))
-    return plain(kpi.segment_kpis(scratch.materialize(totals, "category_totals"))).orderBy(
-        F.col("Revenue").desc(), "segment"
-    )
+    categories = performance(spark, folder).history.where("dimension = 'ProductCategory'")
+    return plain(categories).orderBy(F.col("Revenue").desc(), "segment")
 
 
 def segment_kpis_all_dims(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,8 +405,8 @@ def segment_kpis_all_dims(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def segment_kpis_grouping_sets(spark: SparkSession, folder: str) -> DataFrame:
-    totals = kpi.segment_totals_grouping_sets(performance(spark, folder).sales, DIMENSIONS)
-    return plain(kpi.segment_kpis(scratch.materialize(totals, "grouping_sets")))
+    totals = performance(spark, folder).history.select("dimension", "segment", *kpi.MEASURES)
+    return plain(kpi.segment_kpis_grouping_sets(totals))
 
 
 def hist_segments_top8(spark: SparkSession, folder: str) -> DataFrame:
@@ -401,11 +457,7 @@ def ytd_vs_prior(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def segment_yoy(spark: SparkSession, folder: str) -> DataFrame:
-    analysis = performance(spark, folder)
-    both = periods.in_years(analysis.sales, *analysis.years)
-    yearly = kpi.kpis(both, "ProductCategory", "CalendarYear").withColumnRenamed("ProductCategory", "segment")
-    stored = scratch.materialize(yearly.withColumn("dimension", F.lit("ProductCategory")), "category_years")
-    return plain(segments.segment_yoy(stored, *analysis.years))
+    return plain(performance(spark, folder).yoy.where("dimension = 'ProductCategory'"))
 
 
 def segment_yoy_all_dims(spark: SparkSession, folder: str) -> DataFrame:
@@ -434,10 +486,10 @@ def margin_status(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def business_signal(spark: SparkSession, folder: str) -> DataFrame:
-    """Signals from order growth, next to those of the table, which are from revenue growth."""
+    """Signals from revenue growth and margin, without the label of new segments."""
     yoy = performance(spark, folder).yoy
-    signal = labels.business_signal("OrdersYoY", "MarginPct")
-    return plain(yoy.select("dimension", "segment", "OrdersYoY", "MarginPct", signal.alias("signal")))
+    signal = labels.business_signal("RevenueYoY", "MarginPct")
+    return plain(yoy.select("dimension", "segment", "RevenueYoY", "MarginPct", signal.alias("signal")))
 
 
 def signal_distribution(spark: SparkSession, folder: str) -> DataFrame:
@@ -466,16 +518,15 @@ def new_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def opportunity_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(ranking.opportunity_matrix(performance(spark, folder).history, "ProductCategory", CONFIG.matrix_top))
+    return plain(performance(spark, folder).matrix())
 
 
 def chart_year_bars(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(periods.material_years(performance(spark, folder).series, CONFIG.thresholds.year_materiality))
+    return plain(performance(spark, folder).year_bars())
 
 
 def chart_share_top6(spark: SparkSession, folder: str) -> DataFrame:
-    analysis = performance(spark, folder)
-    return plain(ranking.share_chart(analysis.history, CONFIG.chart_dimensions, CONFIG.chart_top))
+    return plain(performance(spark, folder).share_chart())
 
 
 def order_membership(spark: SparkSession, folder: str) -> DataFrame:
@@ -487,8 +538,7 @@ def attach_analysis(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def attach_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    sales = performance(spark, folder).sales
-    return plain(basket.attach_rates(sales, basket.category_pairs(sales)))
+    return plain(basket.attach_matrix(performance(spark, folder).sales))
 
 
 def revenue_outlook(spark: SparkSession, folder: str) -> DataFrame:

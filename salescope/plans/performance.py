@@ -1,16 +1,18 @@
-"""The performance analysis: one stored fact, two small segment tables, and the report read from those."""
+"""The performance analysis: one stored fact, bitmaps of the ids of its segments, and the report read from those."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from salescope.config import AnalysisConfig
 from salescope.operators import basket, kpi, outlook, periods, ranking, report, segments
 from salescope.session import settings
 from salescope.sources.export import apply_filters, require_rows
-from salescope.sources.scratch import materialize
+from salescope.sources.scratch import materialize, materialize_observed
 
 YEAR = "CalendarYear"
 SEGMENT_FIGURES = (
@@ -23,6 +25,20 @@ SEGMENT_FIGURES = (
     "OrdersYoY",
     "CustomersYoY",
 )
+REBOUND_FIGURES = ("RevenueLatest", "RevenuePrevious", "RevenuePrior", "LatestVsPrevious", "LatestVsPrior")
+ATTACH_FIGURES = (
+    "AnchorOrders",
+    "AttachedOrders",
+    "GapOrders",
+    "AttachRate",
+    "AttachCategoryOrders",
+    "AvgAttachBasket",
+    "AttachMargin",
+    "AddressableRevenue",
+    "AddressableProfit",
+)
+OUTLOOK_FIGURES = ("NextYear", "CAGR", "LinearNext", "CagrNext", "Low", "High")
+MATRIX_FIGURES = ("RevenueM", "MarginPct", "MedianRevenueM", "GlobalMarginPct", "BubbleSize")
 RANKED = {
     "top_growth": ranking.top_growth,
     "top_decline": ranking.top_decline,
@@ -34,25 +50,31 @@ RANKED = {
 }
 
 
-def store_sales(sales: DataFrame) -> DataFrame:
-    """Store the enriched fact by year, straight from the tasks of its last join.
+def store_sales(sales: DataFrame, metrics: Mapping[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Store the enriched fact by year, and give one row of figures gathered by the tasks that write it.
 
-    Every task writes one file per year it holds. Larger tasks keep those files from being small, which is
-    cheaper than another shuffle of all lines by year.
+    Rows are dealt by year first, large years to several tasks and small ones together, so the number of files of a year
+    follows its size and not the number of tasks.
     """
-    with settings(sales.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512MB"}):
-        return materialize(sales, "sales_raw", [YEAR])
+    with settings(sales.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB"}):
+        return materialize_observed(
+            sales.hint("rebalance", YEAR), "sales", {**kpi.control_metrics(), **(metrics or {})}, [YEAR]
+        )
 
 
 class Performance:
-    """All results over one fact. The fact is scanned for the segment tables once; reports read the tables."""
+    """All results over one fact. It is read once per id for the bitmaps; segment tables and reports come from those.
+
+    A fact that is stored already comes with its control totals, see ``store_sales``.
+    """
 
-    def __init__(self, sales: DataFrame, config: AnalysisConfig = AnalysisConfig(), stored: bool = False):
+    def __init__(self, sales: DataFrame, config: AnalysisConfig = AnalysisConfig(), totals: DataFrame | None = None):
         kept = apply_filters(sales, config.active_filters) if config.active_filters else sales
         self.config = config
-        self.sales = kept if stored else store_sales(kept)
+        self.sales, observed = (kept, totals) if totals is not None else store_sales(kept)
+        self.totals = observed.select(*kpi.control_metrics())
         if config.active_filters:
-            require_rows(self.sales)
+            require_rows(self.totals.where("Row_Count > 0") if totals is None else kept)
 
     # Stages ----------------------------------------------------------------------------------------------
 
@@ -61,17 +83,39 @@ class Performance:
         """(latest, previous) comparable years."""
         return periods.pick_comparable_years(self.series)
 
+    @cached_property
+    def bitmaps(self) -> DataFrame:
+        """Ids and sums of every segment and year: all distinct counts of the analysis are unions of these."""
+        return materialize(kpi.segment_bitmaps(self.sales, self.dimensions, [YEAR]), "segment_bitmaps")
+
+    @property
+    def dimensions(self) -> tuple[str, ...]:
+        """The configured dimensions that the fact has; the year, if it has none of them."""
+        wanted = dict.fromkeys((*self.config.history_dimensions, *self.config.core_dimensions))
+        return tuple(d for d in wanted if d in self.sales.columns) or (YEAR,)
+
+    @property
+    def whole(self) -> DataFrame:
+        """The bitmaps of one dimension: its segments together are the whole business."""
+        return self.bitmaps.where(F.col("dimension") == self.dimensions[0])
+
+    def _of(self, dimensions: Sequence[str]) -> DataFrame:
+        absent = set(dimensions) - set(self.dimensions)
+        if absent:
+            raise ValueError(f"the sales have no column {', '.join(sorted(absent))}")
+        return self.bitmaps.where(F.col("dimension").isin(*dimensions))
+
     @cached_property
     def history(self) -> DataFrame:
         """KPIs of every segment of every dimension over the full period."""
-        totals = kpi.segment_totals(self.sales, self.config.history_dimensions)
+        totals = kpi.figures(self._of(self.config.history_dimensions), "dimension", "segment")
         return materialize(kpi.segment_kpis(materialize(totals, "segment_totals")), "segment_kpis")
 
     @cached_property
     def yearly(self) -> DataFrame:
         """Segment totals of the two comparable years."""
-        both = periods.in_years(self.sales, *self.years)
-        return materialize(kpi.segment_totals(both, self.config.core_dimensions, [YEAR]), "segment_years")
+        both = periods.in_years(self._of(self.config.core_dimensions), *self.years)
+        return materialize(kpi.figures(both, "dimension", "segment", YEAR), "segment_years")
 
     @cached_property
     def yoy(self) -> DataFrame:
@@ -86,10 +130,11 @@ class Performance:
     # Results ---------------------------------------------------------------------------------------------
 
     def kpi_global(self) -> DataFrame:
-        return kpi.with_ratios(kpi.kpis(self.sales))
+        return kpi.with_ratios(kpi.figures(self.whole))
 
     def headline(self) -> DataFrame:
-        return periods.headline_yoy(self.sales, *self.years)
+        both = periods.in_years(self.whole, *self.years)
+        return periods.headline(kpi.figures(both, YEAR), *self.years)
 
     def rebound(self) -> DataFrame:
         return periods.rebound(self.series, *self.years)
@@ -106,55 +151,89 @@ class Performance:
         size = self.config.new_top if name == "new_segments" else self.config.ranked_top
         return RANKED[name](self.yoy, size)
 
-    def report_facts(self) -> DataFrame:
-        """Everything the report states, as one long table."""
+    def year_bars(self) -> DataFrame:
+        """Material years in millions, for the chart of the trajectory."""
+        return periods.material_years(self.series, self.config.thresholds.year_materiality)
+
+    def share_chart(self) -> DataFrame:
+        """Largest segments of the charted dimensions with their shares."""
+        return ranking.share_chart(self.history, self.config.chart_dimensions, self.config.chart_top)
+
+    def matrix(self) -> DataFrame:
+        """Revenue against margin for the segments of the matrix dimension, or of the first charted one without it."""
+        return ranking.opportunity_matrix(self.history, self.matrix_dimension, self.config.matrix_top)
+
+    @property
+    def matrix_dimension(self) -> str:
+        known = self.config.matrix_dimension in self.config.core_dimensions
+        return self.config.matrix_dimension if known else self.config.chart_dimensions[0]
+
+    # Report ----------------------------------------------------------------------------------------------
+
+    def sections(self) -> dict[str, Callable[[], DataFrame]]:
+        """Each section of the report by name, built when asked for."""
         measures = (*kpi.MEASURES, "MarginPct", "AOV", "RevPerCustomer")
-        history = ranking.by_revenue(self.history, self.config.history_top)
         keys = {"dimension": "dimension", "rank": "rank", "segment": "segment"}
-        parts = [
-            report.facts(self.kpi_global(), "kpi_global", measures),
-            report.facts(self.series, "revenue_by_year", ["Revenue"], segment=YEAR),
-            report.facts(self.headline(), "headline_yoy", ["Latest", "Previous", "YoY"], segment="measure"),
-            report.facts(
-                self.rebound(),
-                "rebound",
-                ["RevenueLatest", "RevenuePrevious", "RevenuePrior", "LatestVsPrevious", "LatestVsPrior"],
-                ["IsRebound", "PriorComplete"],
-            ),
-            report.facts(history, "history", (*measures, "RevenueShare"), **keys),
-        ]
-        for section in RANKED:
-            parts.append(report.facts(self.ranked(section), section, SEGMENT_FIGURES, ["BusinessSignal"], **keys))
-        labels = segments.label_distribution(self.yoy)
-        parts += [
-            report.facts(labels, "signal_distribution", ["Segments"], dimension="kind", segment="label"),
-            report.facts(
-                segments.flag_counts(self.yoy), "flag_counts", ["RiskSegments", "OpportunitySegments"]
-            ),
-            report.facts(
-                self.attach(),
-                "attach_analysis",
-                [
-                    "AnchorOrders",
-                    "AttachedOrders",
-                    "GapOrders",
-                    "AttachRate",
-                    "AttachCategoryOrders",
-                    "AvgAttachBasket",
-                    "AttachMargin",
-                    "AddressableRevenue",
-                    "AddressableProfit",
+
+        def section(
+            name: str,
+            table: Callable[[], DataFrame],
+            values: Sequence[str],
+            texts: Sequence[str] = (),
+            **columns: str,
+        ) -> tuple[str, Callable[[], DataFrame]]:
+            return name, lambda: report.facts(table(), name, values, texts, **columns)
+
+        def matrix() -> DataFrame:
+            return self.matrix().withColumn("dimension", F.lit(self.matrix_dimension))
+
+        return dict(
+            [
+                section("kpi_global", self.kpi_global, measures),
+                section("revenue_by_year", lambda: self.series, ["Revenue"], segment=YEAR),
+                section("headline_yoy", self.headline, ["Latest", "Previous", "YoY"], segment="measure"),
+                section("rebound", self.rebound, REBOUND_FIGURES, ["IsRebound", "PriorComplete"]),
+                section(
+                    "history",
+                    lambda: ranking.by_revenue(self.history, self.config.history_top),
+                    (*measures, "RevenueShare"),
+                    **keys,
+                ),
+                *[
+                    section(name, lambda name=name: self.ranked(name), SEGMENT_FIGURES, ["BusinessSignal"], **keys)
+                    for name in RANKED
                 ],
-            ),
-            report.facts(
-                self.outlook(),
-                "revenue_outlook",
-                ["NextYear", "CAGR", "LinearNext", "CagrNext", "Low", "High"],
-                ["Volatile"],
-            ),
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-    def report_text(self) -> DataFrame:
+                section(
+                    "signal_distribution",
+                    lambda: segments.label_distribution(self.yoy),
+                    ["Segments"],
+                    dimension="kind",
+                    segment="label",
+                ),
+                section("flag_counts", lambda: segments.flag_counts(self.yoy), ["RiskSegments", "OpportunitySegments"]),
+                section("attach_analysis", self.attach, ATTACH_FIGURES),
+                section("revenue_outlook", self.outlook, OUTLOOK_FIGURES, ["Volatile"]),
+                section("chart_year_bars", self.year_bars, ["RevenueM"], segment=YEAR),
+                section("chart_share", self.share_chart, ["RevenueM", "SharePct"], **keys),
+                section("opportunity_matrix", matrix, MATRIX_FIGURES, ["IsPriority"], **keys),
+                section(
+                    "concentration",
+                    lambda: ranking.leaders(self.history),
+                    ["Revenue", "RevenueShare"],
+                    dimension="dimension",
+                    segment="segment",
+                ),
+            ]
+        )
+
+    def report_facts(self, only: Sequence[str] | None = None) -> DataFrame:
+        """Everything the report states, or some sections of it, as one long table."""
+        built = self.sections()
+        unknown = set(only or ()) - set(built)
+        if unknown:
+            raise ValueError(f"no such sections: {', '.join(sorted(unknown))}")
+        return reduce(DataFrame.unionByName, [table() for name, table in built.items() if only is None or name in only])
+
+    def report_text(self, only: Sequence[str] | None = None) -> DataFrame:
         """The report facts with every figure as formatted text."""
-        return report.displayed(self.report_facts(), self.config.currency)
+        return report.displayed(self.report_facts(only), self.config.currency)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.config import ALL
+from salescope.sources.scratch import materialize
 
 # Quotes inside text are doubled and outer blanks are kept, so text comes back as it was.
 CSV_OPTIONS = {
@@ -23,6 +25,17 @@ ID_COLUMNS = ("SalesOrderNumber", "CustomerKey")
 INTEGER_COLUMNS = ("CalendarYear", "YearMonthNumber")
 # Figures as they stand in the file; exact, with room for sums over all lines.
 FIGURE_COLUMNS = {"Revenue": "decimal(28,8)", "Profit": "decimal(28,8)", "UnitsSold": "decimal(28,8)"}
+# What can be wrong with a figure, in the order it is looked for.
+NOT_A_NUMBER, OVERFLOW, ROUNDED, MALFORMED = "not a number", "overflow", "rounded", "malformed row"
+EXACT = "decimal(38,18)"
+FILE, BROKEN, FAULTS = "__file", "__broken", "__faults"
+
+
+class Loaded(NamedTuple):
+    """Rows of an export, and (file, column, reason, n): what could not be read as it stands."""
+
+    rows: DataFrame
+    rejects: DataFrame
 
 
 def export_sales(sales: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -85,3 +98,44 @@ def load_export(
     raw = raw.toDF(*clean_names(raw.columns))
     typed = raw.select(*[_typed(name) for name in raw.columns])
     return require_rows(apply_filters(typed, filters or {}))
+
+
+def _fault(name: str) -> Column:
+    """Why a figure is not taken as it stands; NULL for a good one and for an empty field."""
+    text = F.nullif(F.trim(F.col(f"`{name}`")), F.lit(""))
+    number = text.try_cast("double")
+    typed = number.try_cast("bigint") if name in INTEGER_COLUMNS else text.try_cast(FIGURE_COLUMNS[name])
+    exact = number if name in INTEGER_COLUMNS else text.try_cast(EXACT)
+    is_number = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+    return (
+        F.when(text.isNull(), F.lit(None).cast("string"))
+        .when(~is_number, F.lit(NOT_A_NUMBER))
+        .when(typed.isNull(), F.lit(OVERFLOW))
+        .when(typed != exact, F.lit(ROUNDED))
+    )
+
+
+def load_checked(spark: SparkSession, paths: str | Sequence[str], filters: Mapping[str, str] | None = None) -> Loaded:
+    """``load_export``, and per file and column the number of figures that were not taken as they stand.
+
+    Figures that are no number or exceed their type are NULL in the rows, those with more places are rounded, rows with too
+    few or too many fields are filled or cut. The files are parsed once: the rows are stored with their file and faults,
+    and the counts read only those two columns. They cover all rows, also those the filters leave out.
+    """
+    path = first_existing(spark, paths)
+    found = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    schema = ", ".join(f"`{i}` string" for i in range(len(found))) + f", {BROKEN} string"
+    parsed = spark.read.options(**CSV_OPTIONS, columnNameOfCorruptRecord=BROKEN).schema(schema).csv(path)
+    names = clean_names(found)
+    raw = parsed.select(*[F.col(f"`{i}`").alias(name) for i, name in enumerate(names)], BROKEN, F.col("_metadata.file_name").alias(FILE))
+    figures = [name for name in names if name in (*INTEGER_COLUMNS, *FIGURE_COLUMNS)]
+    faults = [F.struct(F.lit(name).alias("column"), _fault(name).alias("reason")) for name in figures]
+    faults.append(F.struct(F.lit(None).cast("string").alias("column"), F.when(F.col(BROKEN).isNotNull(), MALFORMED).alias("reason")))
+    kept = F.filter(F.array(*faults), lambda fault: fault["reason"].isNotNull())
+    stored = materialize(raw.select(*[_typed(name) for name in names], FILE, kept.alias(FAULTS)), "export")
+    rejects = (
+        stored.select(F.col(FILE).alias("file"), F.inline(FAULTS))
+        .groupBy("file", "column", "reason")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return Loaded(require_rows(apply_filters(stored.drop(FILE, FAULTS), filters or {})), rejects)

@@ -12,10 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.config import INCOME_LABELS
-from salescope.functions import bands, calendar
+from salescope.functions import calendar
 from salescope.operators.dimensions import date_dimension, generate_dates, lookup
-from salescope.operators.facts import line_profit
 from salescope.sources.star import raw_schema
 
 # Schemas of the given tables.
@@ -155,69 +153,17 @@ class Retail:
         price = F.col("ListPrice").cast("decimal(10,2)")
         return (quantity * price * F.lit(COST_FACTOR).cast("decimal(4,2)")).cast(MONEY)
 
-    def sales_raw(self) -> DataFrame:
-        """Enriched fact, headers first.
+    def line_items(self) -> DataFrame:
+        """The sales view without what belongs to the order."""
+        header = ("OrderDateKey", "CustomerKey", "SalesTerritoryKey")
+        return self.sales(*[name for name in raw_schema("sales").names if name not in header])
 
-        Customers and territories join the orders, a quarter of the lines, and only then the lines; so each
-        line is shuffled by product and by order and by nothing else.
-        """
-        territories = self.territories().select(
-            F.col("SalesTerritoryKey"),
-            F.col("SalesTerritoryGroup").alias("TerritoryGroup"),
-            F.col("SalesTerritoryCountry").alias("Country"),
-        )
-        customers = lookup(
-            self.customers().select(
-                "CustomerKey",
-                "GeographyKey",
-                F.col("EnglishOccupation").alias("Occupation"),
-                bands.band("YearlyIncome", INCOME_BOUNDS, INCOME_LABELS).alias("IncomeGroup"),
-            ),
-            territories,
-            "GeographyKey",
-            "SalesTerritoryKey",
-        ).drop("GeographyKey")
-        year, month = F.year("OrderDate").cast("bigint"), F.month("OrderDate")
-        headers = lookup(self.orders(), customers, "CustomerKey").select(
-            "OrderKey",
-            F.col("CustomerKey").cast("string").alias("CustomerKey"),
-            year.alias("CalendarYear"),
-            calendar.year_month_number(year, month).cast("int").alias("YearMonthNumber"),
-            calendar.quarter_label(F.quarter("OrderDate")).alias("QuarterLabel"),
-            calendar.month_year_label(F.date_format("OrderDate", "MMMM"), year).alias("MonthYear"),
-            "TerritoryGroup",
-            "Country",
-            "IncomeGroup",
-            "Occupation",
-        )
-        products = self.products().select(
-            "ProductKey",
-            F.coalesce("EnglishProductCategoryName", F.lit("Unknown")).alias("ProductCategory"),
-            F.coalesce("EnglishProductSubcategoryName", F.lit("Unknown")).alias("ProductSubcategory"),
-            "ListPrice",
-        )
-        lines = lookup(self.lines(), products, "ProductKey").select(
-            "OrderKey",
-            "ProductCategory",
-            "ProductSubcategory",
-            F.col("SalesAmount").alias("Revenue"),
-            line_profit("SalesAmount", self.cost()).alias("Profit"),
-            F.col("Quantity").cast("bigint").alias("UnitsSold"),
-        )
-        return lookup(lines, headers, "OrderKey").select(
-            "CalendarYear",
-            "YearMonthNumber",
-            "QuarterLabel",
-            "MonthYear",
-            "TerritoryGroup",
-            "Country",
-            "ProductCategory",
-            "ProductSubcategory",
-            "IncomeGroup",
-            "Occupation",
-            "Revenue",
-            "Profit",
-            "UnitsSold",
+    def headers(self) -> DataFrame:
+        """Keys of date, customer and territory per order."""
+        places = self.customers().select("CustomerKey", F.col("GeographyKey").alias("SalesTerritoryKey"))
+        return lookup(self.orders(), places, "CustomerKey").select(
             F.col("OrderKey").cast("string").alias("SalesOrderNumber"),
+            calendar.date_key("OrderDate").alias("OrderDateKey"),
             "CustomerKey",
+            "SalesTerritoryKey",
         )

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from salescope.session import settings
 
@@ -42,3 +42,23 @@ def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) ->
     columns = [f for f in df.schema.fields if f.name not in partition_by]
     columns += [df.schema[name] for name in partition_by]
     return spark.read.schema(type(df.schema)(columns)).parquet(path)
+
+
+def materialize_observed(
+    df: DataFrame, label: str, metrics: Mapping[str, Column], partition_by: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """``materialize``, and one row of aggregates over all rows, gathered by the tasks that write them.
+
+    The tasks of the last stage count, each partition once, also where tasks or stages run again. Where nothing is
+    written the row is taken from the kept rows.
+    """
+    aggregates = [value.alias(name) for name, value in metrics.items()]
+    schema = df.agg(*aggregates).schema
+    spark = df.sparkSession
+    if not shared_folder(spark):
+        stored = materialize(df, label, partition_by)
+        return stored, spark.createDataFrame([stored.agg(*aggregates).first()], schema)
+    seen = Observation(label)
+    stored = materialize(df.observe(seen, *aggregates), label, partition_by)
+    found = seen.get
+    return stored, spark.createDataFrame([tuple(found[name] for name in metrics)], schema)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from salescope.operators import basket, outlook
 
@@ -43,13 +44,28 @@ def test_attach_rates_of_pairs(make_sales):
     assert rows[pairs[1]].AttachRate == 0.5 and rows[pairs[2]].AttachedOrders == 0
 
 
-def test_pairs_come_from_the_data(make_sales):
-    sales = orders(make_sales, *TOY, ("SO4", "Caps", 1, 1), ("SO5", None, 1, 1), (None, "Lost", 1, 1))
-    pairs = basket.category_pairs(sales)
-    assert len(pairs) == 6 and ("Caps", "Bikes") in pairs and not any("Lost" in p for p in pairs)
-    none = sales.where("false")
-    empty = basket.attach_rates(none, basket.category_pairs(none))
-    assert empty.isEmpty() and empty.dtypes == basket.attach_rates(sales, pairs).dtypes
+def test_matrix_of_the_pairs_in_the_data(make_sales):
+    sales = orders(make_sales, *TOY, *TOY, ("SO4", "Caps", 1, 1), ("SO5", None, 1, 1), (None, "Lost", 1, 1), (None, "Bikes", 1, 1))
+    rows = {(r.Anchor, r.Attach): (r.AnchorOrders, r.AttachedOrders, r.AttachRate) for r in basket.attach_matrix(sales).collect()}
+    assert rows == {("Bikes", "Accessories"): (2, 1, 0.5), ("Accessories", "Bikes"): (2, 1, 0.5)}
+    chosen = basket.attach_rates(sales, list(rows)).collect()
+    assert {(r.Anchor, r.Attach): (r.AnchorOrders, r.AttachedOrders, r.AttachRate) for r in chosen} == rows
+    assert basket.attach_matrix(sales.where("false")).isEmpty()
+    assert basket.attach_matrix(sales).dtypes == basket.attach_rates(sales, list(rows)).dtypes
+
+
+def test_matrix_of_300_categories(spark):
+    """One order holds them all, the others two each: the plan is as long as for two categories."""
+    few = spark.range(600).select(
+        F.concat(F.lit("SO"), F.col("id") % 300).alias("SalesOrderNumber"),
+        F.concat(F.lit("c"), (F.col("id") % 300 + F.col("id") / 300 % 2).cast("int") % 300).alias("ProductCategory"),
+    )
+    all_of_them = spark.range(30_000).select(F.lit("HOT").alias("SalesOrderNumber"), F.concat(F.lit("c"), F.col("id") % 300).alias("ProductCategory"))
+    matrix = basket.attach_matrix(few.unionByName(all_of_them))
+    totals = matrix.agg(F.count(F.lit(1)), F.sum("AttachedOrders"), F.min("AnchorOrders"), F.max("AnchorOrders")).first()
+    assert tuple(totals) == (300 * 299, 300 * 299 + 2 * 300, 3, 3)
+    plan = matrix._jdf.queryExecution().toString()
+    assert "partial_count" in plan and "c299" not in plan
 
 
 def series(spark, *rows):

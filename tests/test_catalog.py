@@ -66,7 +66,44 @@ def test_performance_on_a_toy_business(spark, make_sales, tmp_path):
     assert found[("headline_yoy", "Revenue", "YoY")][0] == pytest.approx(2.2)
     assert found[("revenue_by_year", "2014", "Revenue")][0] == pytest.approx(125.01, abs=0.1)
     report.write_facts(facts, f"{tmp_path}/report")
-    assert spark.read.parquet(f"{tmp_path}/report").where("section = 'kpi_global'").count() == 8
+    assert report.read_facts(spark, f"{tmp_path}/report").where("section = 'kpi_global'").count() == 8
+
+
+def facts_of(spark, values):
+    rows = [(section, None, 1, None, "Revenue", float(v), None) for section, v in values.items()]
+    return spark.createDataFrame(rows, ", ".join(f"`{n}` {k}" for n, k in report.FACT_TYPES.items()))
+
+
+def read_values(spark, path):
+    return {r.section: r.value for r in report.read_facts(spark, path).collect()}
+
+
+def test_a_section_is_renewed_and_a_stopped_write_is_not_seen(spark, tmp_path):
+    path = f"{tmp_path}/report"
+    report.write_facts(facts_of(spark, {"a": 1, "b": 2, "c": 3}), path)
+    reader = report.read_facts(spark, path)
+    report.write_facts(facts_of(spark, {"a": 10, "b": 20}), path, ["b"])
+    assert read_values(spark, path) == {"a": 1.0, "b": 20.0, "c": 3.0}
+    # A reader that began before keeps the report it saw.
+    assert {r.section: r.value for r in reader.collect()}["a"] == 1.0
+    # Stopped while rows are written: one section is there, the other fails.
+    broken = facts_of(spark, {"a": 100}).unionByName(
+        facts_of(spark, {"b": 200}).withColumn("value", F.raise_error(F.lit("stopped")).cast("double"))
+    )
+    with pytest.raises(Exception, match="stopped"):
+        report.write_facts(broken, path)
+    assert read_values(spark, path) == {"a": 1.0, "b": 20.0, "c": 3.0}
+    # Stopped after the rows, before the run is named.
+    facts_of(spark, {"a": 1000}).withColumn("run", F.lit(report.new_run())).write.mode("append").partitionBy("section", "run").parquet(
+        f"{path}/{report.ROWS}"
+    )
+    assert read_values(spark, path) == {"a": 1.0, "b": 20.0, "c": 3.0}
+    # The same run again replaces itself; a section can become empty; old runs can go.
+    run = report.write_facts(facts_of(spark, {"a": 5}), path, ["a", "c"])
+    report.write_facts(facts_of(spark, {"a": 6}), path, ["a"], run)
+    assert read_values(spark, path) == {"a": 6.0, "b": 20.0}
+    assert report.drop_old_runs(spark, path) == 4
+    assert read_values(spark, path) == {"a": 6.0, "b": 20.0}
 
 
 def test_filters_narrow_the_analysis(make_sales):

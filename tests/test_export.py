@@ -37,6 +37,41 @@ def test_figures_are_not_rounded(spark, tmp_path):
     assert (row.Revenue, row.Profit, row.UnitsSold) == (Decimal("10.005"), Decimal("-0.0625"), Decimal("3.7"))
 
 
+def test_rejects_are_counted_per_file_and_column(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    big = "9" * 25
+    write(
+        folder / "a.csv",
+        "2013;201301;France;Bikes;10.50;2.25;1;007;C1",
+        "2013.0;abc;France;Bikes;oops;;x;SO2;42",
+        f"2013.5;201301;Spain;Bikes;{big};1.123456789;-{big};SO3;42",
+        "2013;201301;Spain;Bikes;NaN;1.123456780;Infinity;SO4;42",
+        f"{big};201301;Spain",
+    )
+    write(folder / "b.csv", "2013;201302;France;Bikes;1;2;3;SO5;C1;one too many", "; ;France;Bikes;;1e2;0.000000001;SO6;")
+    loaded = export.load_checked(spark, str(folder), {"Country": "France"})
+    assert sorted(r.SalesOrderNumber for r in loaded.rows.collect()) == ["007", "SO2", "SO5", "SO6"]
+    assert {(r.file, r.column, r.reason): r.n for r in loaded.rejects.collect()} == {
+        ("a.csv", "CalendarYear", export.ROUNDED): 1,
+        ("a.csv", "CalendarYear", export.OVERFLOW): 1,
+        ("a.csv", "YearMonthNumber", export.NOT_A_NUMBER): 1,
+        ("a.csv", "Revenue", export.NOT_A_NUMBER): 2,
+        ("a.csv", "Revenue", export.OVERFLOW): 1,
+        ("a.csv", "Profit", export.ROUNDED): 1,
+        ("a.csv", "UnitsSold", export.NOT_A_NUMBER): 2,
+        ("a.csv", "UnitsSold", export.OVERFLOW): 1,
+        ("a.csv", None, export.MALFORMED): 1,
+        ("b.csv", "UnitsSold", export.ROUNDED): 1,
+        ("b.csv", None, export.MALFORMED): 1,
+    }
+    same = export.load_export(spark, str(folder), {"Country": "France"})
+    assert loaded.rows.dtypes == same.dtypes
+    assert sorted(map(str, loaded.rows.collect())) == sorted(map(str, same.collect()))
+    plan = loaded.rejects._jdf.queryExecution().toString()
+    assert "csv" not in plan.split("== Physical Plan ==")[1].lower().replace(".csv", "") and "ReadSchema: struct<__file" in plan
+
+
 def test_filters_and_empty_result(spark, tmp_path):
     path = write(tmp_path / "a.csv", "2013;201301;France;Bikes;1;1;1;a;b", "2013;201301;Spain;Bikes;2;1;1;c;d")
     kept = export.load_export(spark, path, {"Country": "Spain", "ProductCategory": "All", "Nowhere": "x"})

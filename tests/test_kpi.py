@@ -97,37 +97,62 @@ def test_all_forms_agree(make_sales):
     dims = ["ProductCategory", "CustomerKey", "SalesOrderNumber", "Revenue"]
     key = ("dimension", "segment")
     union = as_dict(kpi.segment_totals(sales, dims), *key)
-    sets = as_dict(kpi.segment_totals_grouping_sets(sales, dims), *key)
-    assert union == sets
     for d in dims:
         grouped = kpi.kpis(sales.withColumn("by", F.col(d).cast("string")), "by")
         single = as_dict(long(grouped, "by").withColumn("dimension", F.lit(d)), *key)
         assert single == {k: v for k, v in union.items() if k[0] == d}
+    totals = kpi.segment_totals(sales, dims)
+    assert as_dict(kpi.segment_kpis(totals), *key) == as_dict(kpi.segment_kpis_grouping_sets(totals), *key)
 
 
-def test_dimensions_of_few_and_of_many_segments(spark):
-    """62 values fit the masks, 63 do not; a NULL takes one of the places."""
-    few = F.nullif(F.col("id") % 62, F.lit(5)).cast("string").alias("segment")
-    many = (F.col("id") % 63).cast("string").alias("segment")
-    ids = spark.range(130)
-    rows = ids.select(F.lit("few").alias("dimension"), few).union(ids.select(F.lit("many").alias("dimension"), many))
-    found = kpi.small_dictionaries(rows)
-    assert set(found) == {"few"} and len(found["few"]) == 62 and None in found["few"]
+def test_unions_of_bitmaps(make_sales):
+    """Any union of segments and periods is counted from the stored bitmaps."""
+    lines = random_lines(900, 21)
+    sales = make_sales(*lines)
+    bitmaps = kpi.segment_bitmaps(sales, ["ProductCategory", "UnitsSold"], ["CalendarYear"])
+    assert bitmaps.groupBy("measure", "dimension", "segment", "CalendarYear", "bucket", "word").count().where("count > 1").isEmpty()
+
+    def wanted(rows):
+        return {**{m: sum(r[i] for r in rows) for m, i in (("Revenue", 2), ("Profit", 3), ("UnitsSold", 4))},
+                "Orders": len({r[5] for r in rows} - {None}), "Customers": len({r[6] for r in rows} - {None})}
+
+    for dimension in ("ProductCategory", "UnitsSold"):
+        whole = bitmaps.where(F.col("dimension") == dimension)
+        assert kpi.figures(whole).first().asDict() == wanted(lines) == kpi.kpis(sales).first().asDict()
+        by_year = as_dict(kpi.figures(whole, "CalendarYear"), "CalendarYear")
+        assert {y: {k: v for k, v in r.items() if k != "CalendarYear"} for (y,), r in by_year.items()} == {
+            y: wanted([r for r in lines if r[0] == y]) for y in (None, 2011, 2012, 2013)
+        }
+        two = kpi.figures(whole.where("CalendarYear in (2011, 2013)")).first().asDict()
+        assert two == wanted([r for r in lines if r[0] in (2011, 2013)])
+    assert kpi.figures(bitmaps.where("segment in ('Bikes', 'Clothing')")).first().asDict() == wanted(
+        [r for r in lines if r[7] in ("Bikes", "Clothing")]
+    )
+
 
+def test_bitmaps_of_no_lines(make_sales):
+    none = make_sales(*TOY).where("false")
+    assert kpi.segment_totals(none, ["ProductCategory"]).isEmpty()
+    row = kpi.kpis(none).first()
+    assert (row.Revenue, row.Orders, row.Customers) == (0, 0, 0)
 
-@pytest.mark.parametrize("segments", [1, 62, 63])
-def test_masks_and_pairs_agree_at_the_limit(spark, segments):
-    lines = spark.range(5000).select(
+
+@pytest.mark.parametrize("segments", [1, 62, 63, 5000])
+def test_any_number_of_segments(spark, segments):
+    lines = spark.range(20_000).select(
         F.nullif(F.col("id") % segments, F.lit(segments - 1)).cast("string").alias("d"),
-        (F.col("id") * 7919 % 300).cast("string").alias("k"),
+        (F.col("id") * 7919 % 3000).cast("string").alias("SalesOrderNumber"),
+        (F.col("id") % 3).cast("string").alias("CustomerKey"),
         (F.col("id") % 3).alias("CalendarYear"),
+        *[F.lit(1).alias(m) for m in kpi.SUMS],
+    )
+    found = as_dict(kpi.segment_totals(lines, ["d"], ["CalendarYear"]), "segment", "CalendarYear")
+    grouped = lines.groupBy(F.col("d").alias("segment"), "CalendarYear").agg(
+        F.count_distinct("SalesOrderNumber").alias("o"), F.count_distinct("CustomerKey").alias("c"), F.count(F.lit(1)).alias("n")
     )
-    small = kpi.small_dictionaries(lines.select(F.lit("d").alias("dimension"), F.col("d").alias("segment")))
-    assert bool(small) == (segments <= 62)
-    keys = ("segment", "CalendarYear")
-    masks = as_dict(kpi.distinct_by_segment(lines, "k", ["d"], ["CalendarYear"], dictionaries=small), *keys)
-    pairs = as_dict(kpi.distinct_by_segment(lines, "k", ["d"], ["CalendarYear"]), *keys)
-    assert masks == pairs and len(masks) == len(lines.select("d", "CalendarYear").distinct().collect())
+    assert {k: (r["Orders"], r["Customers"], r["Revenue"]) for k, r in found.items()} == {
+        (r.segment, r.CalendarYear): (r.o, r.c, r.n) for r in grouped.collect()
+    }
 
 
 def test_distincts_exceed_the_total_when_added(make_sales):

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from salescope.operators import quality
+from salescope.sources import scratch
 
 
 @pytest.fixture
@@ -66,26 +67,76 @@ def test_date_checks(dates):
     assert quality.missing_attributes(dates, ["CalendarYear", "FullDate"]).count() == 1
 
 
+def test_key_profile_tells_uniqueness_and_orphans_in_one_pass(spark, sales, products):
+    weighted = spark.sql("select * from values (5, 3), (9, 4), (null, 2) as t(k, n)")
+    nothing = sales.limit(0)
+    profile = quality.key_profile(
+        {
+            "lines": (sales, "ProductKey", products, "ProductKey"),
+            "weights": (weighted, "k", products, "ProductKey", "n"),
+            "no_fact": (nothing, "ProductKey", products, "ProductKey"),
+            "no_rows": (nothing, "ProductKey", products.limit(0), "ProductKey"),
+            "itself": (sales, "SalesOrderNumber", sales, "SalesOrderNumber"),
+        }
+    )
+    found = {r.Relationship: tuple(r)[1:] for r in profile.collect()}
+    assert found == {
+        "lines": (6, 3, 2, 1, 3),
+        "weights": (9, 3, 2, 1, 6),
+        "no_fact": (0, 3, 2, 1, 0),
+        "no_rows": (0, 0, 0, 0, 0),
+        # The NULL order is a key of the dimension but an orphan of the fact.
+        "itself": (6, 6, 3, 2, 1),
+    }
+    plan = profile._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_line_profile(spark, sales):
+    assert tuple(quality.line_profile(sales, "SalesOrderNumber", "SalesOrderLineNumber").first()) == (6, 4, 2)
+    assert tuple(quality.line_profile(sales.limit(0), "SalesOrderNumber").first()) == (0, 0, 0)
+
+
+def test_metrics_observed_while_the_fact_is_stored(spark, sales):
+    rules, required = quality.anomaly_rules(), ["SalesOrderNumber", "ProductKey", "SalesAmount"]
+    metrics = quality.fact_metrics(required, rules)
+    stored, observed = scratch.materialize_observed(sales.repartition(3), "observed", metrics)
+    assert observed.first().asDict() == sales.agg(*[m.alias(n) for n, m in metrics.items()]).first().asDict()
+    assert observed.schema == sales.agg(*[m.alias(n) for n, m in metrics.items()]).schema
+    assert tuple(observed.first()) == (6, 1, 1, 1, 1, 1, 1, 2) and stored.count() == 6
+    assert "Scan" not in observed._jdf.queryExecution().executedPlan().toString().replace("LocalTableScan", "").replace("Scan ExistingRDD", "")
+    empty = scratch.materialize_observed(sales.limit(0), "observed", metrics)[1]
+    assert tuple(empty.first()) == (0,) * 8
+
+
 def test_summary_states_pass_or_fail(sales, products, dates):
+    rules, required = quality.anomaly_rules(), ["SalesOrderNumber", "TotalProductCost"]
     table = quality.summary(
-        {"sales": sales, "products": products},
+        "sales",
+        sales.agg(*[value.alias(name) for name, value in quality.fact_metrics(required, rules).items()]),
+        required,
+        rules,
+        {"Sales_Without_Product": (sales, "ProductKey", products, "ProductKey"), "Other": (products, "ProductKey", sales, "ProductKey")},
+        {"Sales_Without_Product": ("products", "ProductKey")},
         sales,
-        ["SalesOrderNumber", "TotalProductCost"],
-        {("products", "ProductKey"): products},
-        {"Sales_Without_Product": (sales, "ProductKey", products, "ProductKey")},
         ["SalesOrderNumber", "SalesOrderLineNumber"],
-        quality.anomaly_rules(),
         dates,
         ["CalendarYear"],
     )
     found = {(r.check, r.target): (r.observed, r.passed) for r in table.collect()}
-    assert found[("row_count", "sales")] == (6, True)
-    assert found[("null_values", "SalesOrderNumber")] == (1, False)
-    assert found[("null_values", "TotalProductCost")] == (0, True)
-    assert found[("anomalies", "non_positive_quantity")] == (1, False)
-    assert found[("duplicate_keys", "products.ProductKey")] == (1, False)
-    assert found[("orphans", "Sales_Without_Product")] == (3, False)
-    assert found[("duplicate_lines", "SalesOrderNumber+SalesOrderLineNumber")] == (2, False)
-    assert found[("grain", "SalesOrderNumber+SalesOrderLineNumber")] == (2, False)
-    assert found[("date_gaps", "FullDate")] == (1, False)
-    assert found[("date_nulls", "CalendarYear")] == (1, False)
+    assert found == {
+        ("row_count", "sales"): (6, True),
+        ("row_count", "products"): (3, True),
+        ("null_values", "SalesOrderNumber"): (1, False),
+        ("null_values", "TotalProductCost"): (0, True),
+        ("anomalies", "negative_amount"): (1, False),
+        ("anomalies", "negative_cost"): (1, False),
+        ("anomalies", "non_positive_quantity"): (1, False),
+        ("duplicate_keys", "products.ProductKey"): (1, False),
+        ("orphans", "Sales_Without_Product"): (3, False),
+        ("orphans", "Other"): (0, True),
+        ("duplicate_lines", "SalesOrderNumber+SalesOrderLineNumber"): (2, False),
+        ("grain", "SalesOrderNumber+SalesOrderLineNumber"): (2, False),
+        ("date_gaps", "FullDate"): (1, False),
+        ("date_nulls", "CalendarYear"): (1, False),
+    }

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from salescope.operators import basket, dimensions, kpi, periods
+from salescope.operators import basket, dimensions, facts, kpi, periods
 from salescope.plans import catalog
 from salescope.plans.performance import store_sales
 from salescope.sources import scratch
@@ -66,11 +66,44 @@ def test_header_join_splits_a_hot_order_before_an_aggregate(spark, conf):
 
 def test_lines_are_shuffled_by_product_and_order_only(spark, conf):
     conf(**NO_BROADCAST)
-    text = plan(Retail(spark, FOLDER).sales_raw()).split("== Physical Plan ==")[1]
-    assert text.count("SortMergeJoin") == 5
+    retail = Retail(spark, FOLDER)
+    joined = facts.star_join(
+        retail.line_items(),
+        retail.dates(),
+        dimensions.product_dimension(retail.products()),
+        catalog.customer_view(retail),
+        dimensions.territory_dimension(retail.territories()),
+        headers=retail.headers(),
+    )
+    text = plan(facts.enriched(joined)).split("== Physical Plan ==")[1]
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
     lineitem = [line for line in text.splitlines() if "lineitem.parquet" in line]
     assert len(lineitem) == 1 and "l_comment" not in lineitem[0] and "l_tax" not in lineitem[0]
+    # From the scan of the lines up: by product for the price and the category together, then by order.
+    above = text[: text.index("lineitem.parquet")].splitlines()
+    depth, dealt = len(above[-1]), []
+    for line in reversed(above):
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if indent < depth:
+            depth = indent
+            dealt += [line.split("hashpartitioning(")[1].split("#")[0]] if "Exchange hashpartitioning" in line else []
+    assert dealt == ["ProductKey", "SalesOrderNumber"]
+
+
+def test_stored_lines_and_headers_join_where_they_lie(spark, conf):
+    conf(**NO_BROADCAST)
+    for query in (catalog.sales, catalog.sales_raw, catalog.fact_sales):
+        text = plan(query(spark, FOLDER)).split("== Physical Plan ==")[1]
+        assert text.count("SortMergeJoin") == 1 and "Exchange" not in text and text.count("Bucketed: true") == 2
+    lines, headers = catalog.order_parts(spark, FOLDER)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(lines.inputFiles()) <= buckets and len(headers.inputFiles()) <= buckets
+
+
+def test_files_of_a_year_follow_its_size(spark):
+    fact = catalog.stored_sales(spark, FOLDER)[0]
+    years = [path.split("CalendarYear=")[1].split("/")[0] for path in fact.inputFiles()]
+    assert len(years) == len(set(years)) >= 6
 
 
 def test_sales_view_joins_only_what_is_asked(spark):
@@ -92,33 +125,57 @@ def test_stored_fact_keeps_lines_without_a_year(spark, make_sales):
     sales = make_sales(
         (None, None, 1, 1, 1, "a", "b", "Bikes"), (2012, 201201, 2, 1, 1, "c", "d", None), (2013, 201301, 4, 1, 1, "e", "f", "x")
     )
-    stored = store_sales(sales)
+    stored, totals = store_sales(sales)
+    assert totals.first().asDict() == kpi.control_totals(sales).first().asDict()
     assert sorted(map(str, stored.select(sales.columns).collect())) == sorted(map(str, sales.collect()))
     assert dict(stored.dtypes) == dict(sales.dtypes)
 
 
-@pytest.mark.parametrize("id_column", ["SalesOrderNumber", "CustomerKey"])
-def test_hot_ids_collapse_before_the_shuffle(spark, id_column):
-    """One id on a third of the lines: each task sends one row for it, not its lines."""
+@pytest.mark.parametrize("measure", list(kpi.DISTINCTS))
+def test_hot_ids_collapse_before_the_shuffle(spark, measure):
+    """One id on a third of the lines: each task sends a row per segment for it, not its lines."""
+    other = F.lit("x").alias(next(c for m, c in kpi.DISTINCTS.items() if m != measure))
     lines = spark.range(0, 90000, 1, 4).select(
-        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), F.col("id") % 100)).alias(id_column),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("K"), F.col("id") % 100)).alias(kpi.DISTINCTS[measure]),
         (F.col("id") % 7).cast("string").alias("ProductCategory"),
+        *[F.lit(1).alias(m) for m in kpi.SUMS],
+        other,
     )
-    small = {"ProductCategory": [str(i) for i in range(7)]}
-    for dictionaries, partial in ((small, "partial_bit_or"), ({}, "HashAggregate(keys=[__id")):
-        counted = kpi.distinct_by_segment(lines, id_column, ["ProductCategory"], dictionaries=dictionaries)
-        text = executed(counted)
-        assert {r.segment: r.n for r in counted.collect()} == {str(i): 101 for i in range(7)}
-        assert text.rindex(partial) > text.index("Exchange hashpartitioning(__id")
-
-
-def test_segment_totals_scan_narrow_columns(spark):
-    sales = catalog.performance(spark, FOLDER).sales
-    text = plan(kpi.segment_totals(sales, DIMENSIONS[:2])).split("== Physical Plan ==")[1]
+    counted = kpi.segment_totals(lines, ["ProductCategory"])
+    assert {r.segment: r[measure] for r in counted.collect()} == {str(i): 101 for i in range(7)}
+    # Combinations, not lines, are dealt by bucket, and words are made there without another shuffle.
+    part = kpi.segment_bitmaps(lines, ["ProductCategory"]).where(F.col("measure") == measure)
+    text = part._jdf.queryExecution().executedPlan().toString()
+    dealt = text.index("Exchange hashpartitioning(bucket")
+    assert text.count("HashAggregate(keys=[dimension") == 2 and text.rindex("HashAggregate(keys=[dimension") < dealt
+    assert text.index("HashAggregate(keys=[" + kpi.DISTINCTS[measure]) > dealt
+
+
+def test_bitmaps_read_the_fact_once_per_id_and_repeat_no_line(spark, conf):
+    conf(spark__sql__maxMetadataStringLength="2000")
+    analysis = catalog.performance(spark, FOLDER)
+    text = plan(kpi.segment_bitmaps(analysis.sales, DIMENSIONS, ["CalendarYear"])).split("== Physical Plan ==")[1]
     scans = [line.split("ReadSchema: ")[1] for line in text.splitlines() if "ReadSchema" in line]
-    assert len(scans) == 3
-    assert not any("Revenue" in s and "ProductCategory" in s for s in scans)
+    assert len(scans) == 2 and "Expand" not in text and "Join" not in text
     assert sum("CustomerKey" in s for s in scans) == 1 and sum("SalesOrderNumber" in s for s in scans) == 1
+    for figures in (analysis.history, analysis.yearly, analysis.kpi_global(), analysis.headline()):
+        text = plan(figures)
+        assert "Expand" not in text and "SalesOrderNumber" not in text
+    assert "Expand" not in plan(kpi.kpis(analysis.sales, "Country"))
+
+
+def test_checks_of_the_fact_are_few_scans(spark):
+    """Rows, NULLs, anomalies and control totals are known since the fact was stored; keys take a scan per relationship."""
+    for query in (catalog.dq_anomaly_counts, catalog.control_totals):
+        assert "Scan parquet" not in plan(query(spark, FOLDER))
+    text = plan(catalog.dq_row_counts(spark, FOLDER))
+    assert "raw_sales" not in text and "lineitem" not in text
+    text = plan(catalog.dq_null_counts(spark, FOLDER)).split("== Physical Plan ==")[1]
+    assert text.count("FileScan parquet") == 2
+    text = plan(catalog.dq_summary(spark, FOLDER)).split("== Physical Plan ==")[1]
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    assert sum("raw_sales" in s for s in scans) <= 7 and sum("orders.parquet" in s for s in scans) <= 2
+    assert not any("lineitem" in s for s in scans)
 
 
 def test_attach_rates_do_not_join_orders_with_themselves(make_sales):

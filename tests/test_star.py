@@ -102,13 +102,20 @@ def test_sales_fact_drops_the_line_number(raw):
 
 
 def test_star_join_keeps_every_line(raw, calendar):
-    joined = facts.star_join(
+    views = (
         facts.sales_fact(raw["sales"]),
         calendar,
         dimensions.product_dimension(raw["product"]),
         dimensions.customer_dimension(raw["customer"], raw["geography"], AS_OF),
         dimensions.territory_dimension(raw["territory"]),
     )
+    joined = facts.enriched(facts.star_join(*views))
+    from_headers = facts.star_join(
+        raw["sales"].drop("OrderDateKey", "CustomerKey", "SalesTerritoryKey"),
+        *views[1:],
+        headers=raw["sales"].select("SalesOrderNumber", "OrderDateKey", "CustomerKey", "SalesTerritoryKey"),
+    )
+    assert sorted(map(str, facts.enriched(from_headers).collect())) == sorted(map(str, joined.collect()))
     assert tuple(joined.columns) == facts.SALES_RAW_COLUMNS
     first, second = joined.orderBy("SalesOrderNumber").collect()
     assert (first.CalendarYear, first.YearMonthNumber, first.QuarterLabel, first.MonthYear) == (2013, 201302, "Q1", "Feb 2013")
