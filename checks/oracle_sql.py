@@ -472,7 +472,8 @@ def dq_summary() -> str:
         "select 'grain', 'SalesOrderNumber+SalesOrderLineNumber', count(*) - count(distinct (l_orderkey, l_linenumber)),"
         " count(*) = count(distinct (l_orderkey, l_linenumber)) from lineitem"
     )
-    parts.append("select 'date_gaps', 'FullDate', 0, true")
+    gaps = "date_diff('day', min(FullDate), max(FullDate)) + 1 - count(distinct FullDate)"
+    parts.append(f"select 'date_gaps', 'FullDate', {gaps}, {gaps} = 0 from cal")
     parts.append(zero("date_nulls", "CalendarYear+MonthNumberOfYear+MonthYear", "cal where CalendarYear is null"))
     return with_(SALES, CALENDAR) + " union all ".join(parts)
 
@@ -531,6 +532,28 @@ ORACLE: dict[str, str] = {
       coalesce(p_type, 'Unknown') as ProductCategory, 'Other' as ProductLine, cast(p_size as varchar) as Size,
       'No Model' as Status, 'No Model' as ModelName, cast(cast(p_retailprice as decimal(18,2)) as double) as ListPrice
       from part""",
+    "dim_customer_bands": f"""select c_custkey as CustomerKey, cast(first as date) as BirthDate,
+      case when 2002 - year(first) < 4 then '18-25' when 2002 - year(first) < 5 then '26-35'
+        when 2002 - year(first) < 6 then '36-45' when 2002 - year(first) < 7 then '46-55' else '55+' end as AgeGroup,
+      cast(case when 2002 - year(first) < 4 then 1 when 2002 - year(first) < 5 then 2 when 2002 - year(first) < 6 then 3
+        when 2002 - year(first) < 7 then 4 else 5 end as bigint) as AgeGroupSort,
+      case when cast(c_acctbal as decimal(18,2)) >= 5000 then 'Home Owner'
+        when cast(c_acctbal as decimal(18,2)) >= 0 then 'Non Home Owner' else 'Unknown' end as HouseOwnerFlag,
+      {INCOME} as IncomeGroup, n_name as Country
+      from customer left join nation on c_nationkey = n_nationkey
+        left join (select o_custkey, min(o_orderdate) as first from orders group by o_custkey) on c_custkey = o_custkey""",
+    "dim_product_defaults": """select p_partkey as ProductKey,
+      case when p_size % 3 > 0 then coalesce(p_brand, 'Unknown') else 'Unknown' end as ProductSubcategory,
+      case when p_type is null or p_type = 'PROMO' then 'Unknown' else p_type end as ProductCategory,
+      case when p_size > 25 then 'L' else 'Other' end as ProductLine,
+      case when p_size % 2 = 0 then 'Current' else 'No Model' end as Status,
+      case when p_size % 5 = 0 then p_name else 'No Model' end as ModelName from part""",
+    "dim_promotion": """select cast(round(l_discount * 100) as bigint) as PromotionKey,
+      'Discount ' || cast(cast(round(l_discount * 100) as bigint) as varchar) || '%' as PromotionName,
+      cast(cast(round(l_discount * 100) as bigint) as double) / 100 as DiscountPct,
+      cast(min(o_orderdate) as date) as StartDate, cast(max(l_shipdate) as date) as EndDate,
+      date_diff('day', cast(min(o_orderdate) as date), cast(max(l_shipdate) as date)) as PromotionDurationDays
+      from lineitem left join orders on l_orderkey = o_orderkey group by round(l_discount * 100)""",
     "dim_territory": """select cast(n_nationkey as bigint) as SalesTerritoryKey, r_name as TerritoryGroup, n_name as Country,
       n_name as Region from nation left join region on n_regionkey = r_regionkey""",
     "dim_date": with_(CALENDAR) + "select * from cal",
@@ -576,6 +599,8 @@ ORACLE: dict[str, str] = {
       where cast(c_acctbal as decimal(18,2)) < 0""",
     "dq_sales_anomaly_rows": FACT + f"""select {SALES_VIEW} from lines
       where amount < 0 or cost < 0 or cast(l_quantity as int) <= 0""",
+    "dq_loss_rows": FACT + f"""select {SALES_VIEW} from lines
+      where amount < cost or (cast(l_quantity as int) = 1 and amount > cast(p_retailprice as decimal(18,2)))""",
     "dq_anomaly_counts": FACT
     + "select "
     + ", ".join(f"count(*) filter ({rule}) as {n}" for n, rule in RULES.items())
@@ -584,6 +609,12 @@ ORACLE: dict[str, str] = {
       cast(date_diff('day', min(d), max(d)) + 1 as bigint) as ExpectedDays from days""",
     "dq_date_nulls": with_(CALENDAR) + """select DateKey, CalendarYear, MonthNumberOfYear, MonthYear from cal
       where CalendarYear is null or MonthNumberOfYear is null or MonthYear is null""",
+    "dq_ship_date_nulls": """select cast(l_shipdate as date) as ShipDate, count(*) as Lines, cast(null as bigint) as CalendarYear
+      from lineitem where cast(l_shipdate as date) < (select cast(min(o_orderdate) as date) from orders)
+        or cast(l_shipdate as date) > (select cast(max(o_orderdate) as date) from orders) group by 1""",
+    "dq_order_days": """select min(d) as MinDate, max(d) as MaxDate, count(*) as DateRows,
+      cast(date_diff('day', min(d), max(d)) + 1 as bigint) as ExpectedDays
+      from (select distinct cast(o_orderdate as date) as d from orders where o_orderpriority = '1-URGENT')""",
     "dq_grain": """select count(*) as TotalRows, count(distinct (l_orderkey, l_linenumber)) as DistinctOrderLines
       from lineitem""",
     "dq_summary": dq_summary(),

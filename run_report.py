@@ -23,7 +23,7 @@ from salescope.operators import dimensions, facts, report
 from salescope.plans import star_checks
 from salescope.plans.performance import Performance
 from salescope.session import tune
-from salescope.sources import export, star, views
+from salescope.sources import export, scratch, star, views
 
 
 def enriched(spark: SparkSession, folder: str, as_of: dt.date) -> DataFrame:
@@ -105,9 +105,7 @@ def make_report(spark: SparkSession, args: argparse.Namespace) -> None:
     report.write_facts(Performance(sales, config).report_text(args.section), args.report, args.section)
 
 
-def main(argv: list[str] | None = None) -> None:
-    args = arguments(argv)
-    spark = tune(SparkSession.builder.appName("sales-report").getOrCreate())
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "report":
         make_report(spark, args)
     elif args.command == "check":
@@ -121,5 +119,17 @@ def main(argv: list[str] | None = None) -> None:
         views.create_views(spark, args.star, args.as_of, args.schema)
 
 
+def main(argv: list[str] | None = None) -> None:
+    args = arguments(argv)
+    shared = SparkSession.getActiveSession() is not None
+    spark = tune(SparkSession.builder.appName("sales-report").getOrCreate())
+    try:
+        run(spark, args)
+    finally:
+        # In a session of somebody else, others may still read what is stored.
+        if not shared:
+            scratch.release(spark)
+
+
 if __name__ == "__main__":
     main()

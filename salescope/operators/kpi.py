@@ -97,16 +97,19 @@ def additive_by_segment(df: DataFrame, dimensions: Sequence[str], period: Sequen
 def _id_words(lines: DataFrame, measure: str, slots: Mapping[str, str], period: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Bitmaps of one id column: (measure, dimension, segment, period, bucket, word, bits, sums).
 
-    Lines collapse to combinations of id, segments and period first. Ids are then dealt into buckets by hash and numbered
-    within their bucket in order, so neighbours in a word are neighbours in id; an id that holds much of the fact is as
-    many rows as it has combinations. The words of a bucket are made where its ids were numbered, without a shuffle.
+    Lines collapse to combinations of id, segments and period first, so an id that holds much of the fact is as many rows
+    as it has combinations. Ids are then dealt into buckets by hash and numbered within their bucket, by their first period
+    and then by id, so that ids of one period share words. The words are made where the ids were numbered, without a shuffle.
     """
     source = DISTINCTS[measure]
     keys = lines.select(source, *period, *slots.values(), *sums).groupBy(source, *period, *slots.values())
     combined = keys.agg(*[F.sum(m).alias(m) for m in sums]) if sums else keys.count().drop("count")
     buckets = BUCKETS_PER_PARTITION * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = combined.withColumn("bucket", F.pmod(F.xxhash64(source), F.lit(buckets))).repartition("bucket")
-    place = F.dense_rank().over(Window.partitionBy("bucket").orderBy(source)) - 1
+    if period:
+        dealt = dealt.withColumn("__first", F.min(F.struct(*period)).over(Window.partitionBy("bucket", source)))
+    order = ["__first", source] if period else [source]
+    place = F.dense_rank().over(Window.partitionBy("bucket").orderBy(*order)) - 1
     one = F.lit(1).cast("bigint")
     bit = F.when(F.col(source).isNotNull(), F.call_function("shiftleft", one, (F.col("__place") % WORD_BITS).cast("int")))
     segments = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("segment")) for d, slot in slots.items()]
@@ -136,10 +139,14 @@ def segment_bitmaps(df: DataFrame, dimensions: Sequence[str], period: Sequence[s
 def figures(bitmaps: DataFrame, *by: str) -> DataFrame:
     """The five measures of ``segment_bitmaps`` per group of its key columns.
 
-    Words that meet in a group are united before their bits are counted. An id occurs in every dimension, so keep to one
+    Words that meet in a group are united before their bits are counted; a group of all keys has each word once. An id occurs in every dimension, so keep to one
     dimension, or group by it.
     """
-    united = bitmaps.groupBy(*by, "measure", "bucket", "word").agg(F.bit_or("bits").alias("bits"), *[F.sum(m).alias(m) for m in SUMS])
+    words = [c for c in bitmaps.columns if c not in ("bits", *SUMS)]
+    keys = [c for c in words if c in (*by, "measure", "bucket", "word")]
+    united = bitmaps
+    if keys != words:
+        united = bitmaps.groupBy(*keys).agg(F.bit_or("bits").alias("bits"), *[F.sum(m).alias(m) for m in SUMS])
     ids = F.bit_count("bits").cast("bigint")
     counts = [zero_sum(F.when(F.col("measure") == name, ids)).alias(name) for name in DISTINCTS]
     return united.groupBy(*by).agg(*additive_aggregates(), *counts)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from salescope.session import tune
 from salescope.sources import scratch
 from salescope.sources.buckets import store_bucketed
 from salescope.sources.export import apply_filters, export_sales, load_export, require_rows
-from salescope.sources.retail import DIMENSIONS, INCOME_BOUNDS, Retail
+from salescope.sources.retail import DIMENSIONS, INCOME_BOUNDS, SCHEMAS, Retail
 from salescope.sources.star import raw_schema
 
+T = TypeVar("T")
 AS_OF = dt.date(2002, 1, 1)
 CONFIG = AnalysisConfig(
     core_dimensions=DIMENSIONS,
@@ -39,21 +41,24 @@ RATIO_COLUMNS = {
 AMOUNT_COLUMNS = {"AOV", "RevPerCustomer", "AvgAttachBasket"}
 COARSE_COLUMNS = {"AddressableRevenue", "AddressableProfit", "LinearNext", "CagrNext", "Low", "High"}
 
-Key = tuple[str, str]
-_parts: dict[Key, tuple[DataFrame, DataFrame]] = {}
-_facts: dict[Key, tuple[DataFrame, DataFrame]] = {}
-_analyses: dict[Key, Performance] = {}
-_dates: dict[Key, DataFrame] = {}
+Key = tuple[str, str, str]
+# What was stored for an application, folder and step, with the state of the source files then.
+_stored: dict[Key, tuple[object, object]] = {}
 
 
-def _key(spark: SparkSession, folder: str) -> Key:
-    return spark.sparkContext.applicationId, folder
+def _once(spark: SparkSession, folder: str, step: str, make: Callable[[], T]) -> T:
+    """The stored result of a step, made anew after the tables of the folder have changed."""
+    key = (spark.sparkContext.applicationId, folder, step)
+    state = scratch.fingerprint(spark, [f"{folder}/{name}.parquet" for name in SCHEMAS])
+    if key not in _stored or _stored[key][0] != state:
+        _stored[key] = state, make()
+    return _stored[key][1]
 
 
 def order_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Lines with their product and headers with their attributes, stored in the same buckets of orders."""
-    key = _key(spark, folder)
-    if key not in _parts:
+
+    def make() -> tuple[DataFrame, DataFrame]:
         retail = Retail(spark, folder)
         lines = facts.priced(retail.line_items(), dimensions.product_dimension(retail.products()))
         headers = facts.described(
@@ -62,8 +67,9 @@ def order_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
             customer_view(retail),
             dimensions.territory_dimension(retail.territories()),
         )
-        _parts[key] = store_bucketed(lines, "lines", facts.ORDER_KEY), store_bucketed(headers, "headers", facts.ORDER_KEY)
-    return _parts[key]
+        return store_bucketed(lines, "lines", facts.ORDER_KEY), store_bucketed(headers, "headers", facts.ORDER_KEY)
+
+    return _once(spark, folder, "parts", make)
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,20 +81,18 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """``sales``, stored once by year, and the figures gathered meanwhile for the checks and control totals."""
-    key = _key(spark, folder)
-    if key not in _facts:
-        metrics = quality.fact_metrics(REQUIRED, quality.anomaly_rules())
-        _facts[key] = store_sales(sales(spark, folder), metrics)
-    return _facts[key]
+    metrics = quality.fact_metrics(REQUIRED, quality.anomaly_rules())
+    return _once(spark, folder, "sales", lambda: store_sales(sales(spark, folder), metrics))
 
 
 def performance(spark: SparkSession, folder: str) -> Performance:
     """The analysis of a folder. Its stored fact and segment tables serve all queries of the application."""
-    key = _key(spark, folder)
-    if key not in _analyses:
+
+    def make() -> Performance:
         fact, totals = stored_sales(spark, folder)
-        _analyses[key] = Performance(raw_form(fact), CONFIG, totals)
-    return _analyses[key]
+        return Performance(raw_form(fact), CONFIG, totals)
+
+    return _once(spark, folder, "performance", make)
 
 
 def raw_form(fact: DataFrame) -> DataFrame:
@@ -108,10 +112,7 @@ def raw_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def calendar(spark: SparkSession, folder: str) -> DataFrame:
     """The date view of a folder, a row per day, stored once."""
-    key = _key(spark, folder)
-    if key not in _dates:
-        _dates[key] = scratch.materialize(Retail(spark, folder).dates(), "calendar")
-    return _dates[key]
+    return _once(spark, folder, "calendar", lambda: scratch.materialize(Retail(spark, folder).dates(), "calendar"))
 
 
 def plain(df: DataFrame, *columns: str) -> DataFrame:
@@ -154,6 +155,45 @@ def dim_product(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dim_customer_bands(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer view where ages and home owners vary: years since the first order stand for the age, and the sign of the
+    balance for the flag; customers without orders have no birth date, those without a balance no known flag."""
+    retail = Retail(spark, folder)
+    first = retail.orders().groupBy("CustomerKey").agg(F.min("OrderDate").alias("FirstOrder"))
+    owner = F.when(F.col("YearlyIncome") >= 5000, "1").when(F.col("YearlyIncome") >= 0, "0")
+    customers = dimensions.lookup(retail.customers(), first, "CustomerKey").withColumns(
+        {"BirthDate": F.col("FirstOrder"), "HouseOwnerFlag": owner}
+    )
+    view = dimensions.customer_dimension(
+        customers.drop("FirstOrder"), retail.geography(), AS_OF, age_bounds=(4, 5, 6, 7), income_bounds=INCOME_BOUNDS
+    )
+    return plain(view, "CustomerKey", "BirthDate", "AgeGroup", "AgeGroupSort", "HouseOwnerFlag", "IncomeGroup", "Country")
+
+
+def dim_product_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """The product view where attributes are missing: brands, types and a status are taken from some of the parts."""
+    products = Retail(spark, folder).products()
+    size = F.col("Size").cast("int")
+    gaps = products.withColumns(
+        {
+            "EnglishProductSubcategoryName": F.when(size % 3 > 0, F.col("EnglishProductSubcategoryName")),
+            "EnglishProductCategoryName": F.nullif("EnglishProductCategoryName", F.lit("PROMO")),
+            "ProductLine": F.when(size > 25, F.lit("L")),
+            "Status": F.when(size % 2 == 0, F.lit("Current")),
+            "ModelName": F.when(size % 5 == 0, F.col("EnglishProductName")),
+        }
+    )
+    return plain(
+        dimensions.product_dimension(gaps),
+        "ProductKey", "ProductSubcategory", "ProductCategory", "ProductLine", "Status", "ModelName",
+    )
+
+
+def dim_promotion(spark: SparkSession, folder: str) -> DataFrame:
+    """Each discount rate as a promotion, from the first order it was given on to the last day it was shipped."""
+    return plain(dimensions.promotion_dimension(Retail(spark, folder).promotions()))
+
+
 def dim_territory(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.territory_dimension(Retail(spark, folder).territories())
 
@@ -327,6 +367,15 @@ def dq_sales_anomaly_rows(spark: SparkSession, folder: str) -> DataFrame:
     return plain(quality.anomaly_rows(sales_view(spark, folder), quality.anomaly_rules()).drop("PromotionKey"))
 
 
+def dq_loss_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales lines below cost, or of a single unit for more than its list price."""
+    rules = {
+        "below_cost": F.col("SalesAmount") < F.col("TotalProductCost"),
+        "above_list": (F.col("OrderQuantity") == 1) & (F.col("SalesAmount") > F.col("UnitPrice")),
+    }
+    return plain(quality.anomaly_rows(sales_view(spark, folder), rules).drop("PromotionKey"))
+
+
 def dq_anomaly_counts(spark: SparkSession, folder: str) -> DataFrame:
     return raw_metrics(spark, folder).select(*quality.anomaly_rules(), "any_rule")
 
@@ -341,6 +390,20 @@ def dq_date_nulls(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dq_ship_date_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of shipping without calendar attributes: those outside the calendar, which ends with the last order."""
+    shipped = Retail(spark, folder).table("lineitem").select(F.col("l_shipdate").cast("date").alias("ShipDate"))
+    days = shipped.groupBy("ShipDate").agg(F.count(F.lit(1)).alias("Lines"))
+    dated = dimensions.lookup(days, calendar(spark, folder).select("FullDate", *DATE_ATTRIBUTES), "ShipDate", "FullDate")
+    return quality.missing_attributes(dated, DATE_ATTRIBUTES).select("ShipDate", "Lines", "CalendarYear")
+
+
+def dq_order_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Range and gaps of the days that have orders of the highest priority, which leave days out."""
+    urgent = Retail(spark, folder).table("orders").where("o_orderpriority = '1-URGENT'")
+    return quality.date_range(urgent.select(F.col("o_orderdate").cast("date").alias("FullDate")).distinct())
+
+
 def dq_grain(spark: SparkSession, folder: str) -> DataFrame:
     return quality.grain(Retail(spark, folder).lines(), "OrderKey", "SalesOrderLineNumber")
 
@@ -574,6 +637,9 @@ def report_text(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: Mapping[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_customer": dim_customer,
     "dim_product": dim_product,
+    "dim_customer_bands": dim_customer_bands,
+    "dim_product_defaults": dim_product_defaults,
+    "dim_promotion": dim_promotion,
     "dim_territory": dim_territory,
     "dim_date": dim_date,
     "threshold_band": threshold_band,
@@ -592,9 +658,12 @@ QUERIES: Mapping[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_duplicate_lines": dq_duplicate_lines,
     "dq_anomaly_rows": dq_anomaly_rows,
     "dq_sales_anomaly_rows": dq_sales_anomaly_rows,
+    "dq_loss_rows": dq_loss_rows,
     "dq_anomaly_counts": dq_anomaly_counts,
     "dq_date_range": dq_date_range,
     "dq_date_nulls": dq_date_nulls,
+    "dq_ship_date_nulls": dq_ship_date_nulls,
+    "dq_order_days": dq_order_days,
     "dq_grain": dq_grain,
     "dq_summary": dq_summary,
     "validation_totals": validation_totals,

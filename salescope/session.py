@@ -17,9 +17,11 @@ RUNTIME_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Switch on adaptive execution and skew handling; sizes stay the cluster's own."""
+    """Switch on adaptive execution and skew handling where the session has not set them itself; sizes stay its own."""
+    chosen = spark.conf.getAll
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in chosen:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 
 from salescope.session import settings
-from salescope.sources.scratch import FREE_SHUFFLES, materialize, new_path, shared_folder
+from salescope.sources.scratch import FREE_SHUFFLES, materialize, new_path, shared_folder, table_prefix
 
 
 def store_bucketed(df: DataFrame, label: str, key: str, buckets: int | None = None) -> DataFrame:
@@ -20,8 +20,7 @@ def store_bucketed(df: DataFrame, label: str, key: str, buckets: int | None = No
     if not shared_folder(spark):
         return materialize(df, label)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"salescope_{label}_{uuid.uuid4().hex}"
+    name = f"{table_prefix(spark.sparkContext.applicationId)}{label}_{uuid.uuid4().hex}"
     with settings(spark, FREE_SHUFFLES):
-        dealt = df.repartition(buckets, key).sortWithinPartitions(key)
-        dealt.write.bucketBy(buckets, key).sortBy(key).option("path", new_path(spark, label)).saveAsTable(name)
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", new_path(spark, label)).saveAsTable(name)
     return spark.table(name)

@@ -78,6 +78,24 @@ class Retail:
         }
         return self._fill("product", self.table("part"), known)
 
+    def promotions(self) -> DataFrame:
+        """One promotion per discount rate, in percent: from the first order with it to the last shipping day.
+
+        Lines collapse to one row per rate and order before they meet the orders.
+        """
+        percent = F.round(F.col("l_discount") * 100).cast("bigint")
+        shipped = F.max(F.col("l_shipdate").cast("date"))
+        used = self.table("lineitem").groupBy(percent.alias("percent"), F.col("l_orderkey").alias("OrderKey")).agg(shipped.alias("last"))
+        dated = lookup(used, self.orders().select("OrderKey", "OrderDate"), "OrderKey")
+        rates = dated.groupBy("percent").agg(F.min("OrderDate").alias("first"), F.max("last").alias("last"))
+        return rates.select(
+            F.col("percent").alias("PromotionKey"),
+            F.concat(F.lit("Discount "), F.col("percent").cast("string"), F.lit("%")).alias("EnglishPromotionName"),
+            (F.col("percent") / 100).cast("decimal(10,4)").alias("DiscountPct"),
+            F.col("first").alias("StartDate"),
+            F.col("last").alias("EndDate"),
+        )
+
     def territories(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         return lookup(nation, region, "n_regionkey", "r_regionkey").select(

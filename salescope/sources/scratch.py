@@ -62,3 +62,33 @@ def materialize_observed(
     stored = materialize(df.observe(seen, *aggregates), label, partition_by)
     found = seen.get
     return stored, spark.createDataFrame([tuple(found[name] for name in metrics)], schema)
+
+
+def table_prefix(application: str) -> str:
+    """How the names of an application's tables begin in the catalog."""
+    return f"salescope_{application.replace('-', '_')}_".lower()
+
+
+def release(spark: SparkSession, application: str | None = None) -> None:
+    """Delete what an application (this one by default) stored: its folder, and its tables in the session's catalog.
+
+    To be called when no result of it is read any more.
+    """
+    application = application or spark.sparkContext.applicationId
+    for table in spark.catalog.listTables(pattern=f"{table_prefix(application)}*"):
+        spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    folder = shared_folder(spark)
+    if folder:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/salescope/{application}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fingerprint(spark: SparkSession, paths: Sequence[str]) -> tuple[tuple[str, int, int], ...]:
+    """(name, size, time of change) of the files at some paths, to tell whether stored results still belong to them."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for text in paths:
+        path = hadoop.Path(text)
+        for status in path.getFileSystem(conf).listStatus(path):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
