@@ -503,8 +503,7 @@ def rebound_flag(spark: SparkSession, folder: str) -> DataFrame:
 def rebound_by_segment(spark: SparkSession, folder: str) -> DataFrame:
     analysis = performance(spark, folder)
     latest, previous = analysis.years
-    sales = periods.in_years(analysis.sales, latest, previous, previous - 1)
-    yearly = kpi.additive_by_segment(sales, DIMENSIONS, ["CalendarYear"])
+    yearly = periods.in_years(analysis.segment_sums(), latest, previous, previous - 1)
     return plain(periods.rebound(yearly, latest, previous, "dimension", "segment"))
 
 
@@ -611,7 +610,7 @@ def revenue_outlook(spark: SparkSession, folder: str) -> DataFrame:
 def revenue_outlook_by_segment(spark: SparkSession, folder: str) -> DataFrame:
     """Outlook of every segment from the complete years of the whole business."""
     analysis = performance(spark, folder)
-    yearly = kpi.additive_by_segment(analysis.sales, DIMENSIONS, ["CalendarYear"])
+    yearly = analysis.segment_sums()
     whole = F.broadcast(periods.complete(analysis.series).select("CalendarYear"))
     return plain(outlook.revenue_outlook(yearly.join(whole, "CalendarYear", "left_semi"), "dimension", "segment"))
 

@@ -117,6 +117,11 @@ class Performance:
         both = periods.in_years(self._of(self.config.core_dimensions), *self.years)
         return materialize(kpi.figures(both, "dimension", "segment", YEAR), "segment_years")
 
+    def segment_sums(self) -> DataFrame:
+        """Revenue, profit and units of every segment and year, from the words of the orders."""
+        words = self.bitmaps.where("measure = 'Orders'")
+        return words.groupBy("dimension", "segment", YEAR).agg(*kpi.additive_aggregates())
+
     @cached_property
     def yoy(self) -> DataFrame:
         """Segments of the latest against the previous year."""
