@@ -362,3 +362,61 @@ def test_empty_tables(spark):
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.top_k(vectors, F.col("id") % 50 == 0).count() == 0
     assert chat.digests(chat.expand(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+
+
+def clustered(seed, clusters=40, size=100, dimensions=64):
+    maker = np.random.default_rng(seed)
+    centres = np.repeat(maker.normal(0, 1, size=(clusters, dimensions)), size, axis=0)
+    return np.floor(256 * (centres + maker.normal(0, 1 / 16, size=centres.shape))).astype(np.int64)
+
+
+def test_nets_are_nested_separated_and_covering():
+    points = np.unique(clustered(11, size=20), axis=0).astype(np.float64)
+    net = neighbours.Net(points, len(points) // 2)
+    assert net.levels == sorted(net.levels, reverse=True) and len(net.centres) > 20
+    away = np.sqrt(((points[:, None] - points[net.centres]) ** 2).sum(axis=2))
+    for level in sorted(set(net.levels[1:])):
+        held = [i for i, highest in enumerate(net.levels) if highest >= level]
+        scale = neighbours.BASE**level
+        between = away[np.array(net.centres)[held]][:, held]
+        assert between[~np.eye(len(held), dtype=bool)].min() > scale - 1e-6
+        assert away[:, held].min(axis=1).max() <= scale + 1e-6
+    tree = neighbours.CoverTree(points, 4)
+    assert sorted(tree.order) == list(range(len(points)))
+    for node, centre in enumerate(tree.centre):
+        below = points[tree.points_below(node)]
+        assert (below[0] == centre).all() and np.isclose(np.sqrt(((below - centre) ** 2).sum(axis=1)).max(), tree.radius[node])
+        assert sum(tree.last[c] - tree.first[c] for c in tree.children[node]) in (0, len(below))
+    again = neighbours.CoverTree.read(points[tree.order], *tree.written())
+    assert sorted(zip(again.first, again.last, again.radius)) == sorted(zip(tree.first, tree.last, tree.radius))
+
+
+def test_clustered_vectors_are_mostly_pruned():
+    data, ids = clustered(12), np.arange(4000)
+    asked = ids[::8]
+    search = neighbours._Search(asked, data[asked], ids, data, 5)
+    scores = data[asked] @ data.T
+    scores[np.arange(len(asked)), asked] = neighbours.LOWEST
+    assert (search.scores == np.sort(scores, axis=1)[:, :-6:-1]).all()
+    assert search.scored < 0.3 * scores.size
+
+
+def test_cells_out_of_reach_are_not_searched(spark, monkeypatch):
+    """Several cells and parts: the result is exact, and most cells never see a query of another cluster."""
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 50)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 60)
+    data = clustered(13, clusters=20)
+    searched = []
+    original = neighbours._searched
+    monkeypatch.setattr(neighbours, "_searched", lambda t, q, k: searched.append(q) or original(t, q, k))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = {tuple(r) for r in neighbours.top_k(df, F.col("id") % 25 == 0, scale=1.0).collect()}
+    expected = set()
+    for q in range(0, 2000, 25):
+        scores = data @ data[q]
+        order = [j for j in np.lexsort((np.arange(2000), -scores)) if j != q][:5]
+        expected |= {(q, k + 1, int(j), int(scores[j])) for k, j in enumerate(order)}
+    assert found == expected
+    home, further = (q.count() for q in searched)
+    assert home == 80 and further < 0.25 * 80 * 40
