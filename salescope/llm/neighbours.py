@@ -42,7 +42,7 @@ from salescope.sources.scratch import materialize
 # Ratio of the scales of neighbouring levels.
 BASE = 1.3
 # Points per centre of the lowest level, on average, in trees over data and over queries.
-LEAF, QUERY_LEAF = 32, 1
+LEAF, QUERY_LEAF = 32, 16
 # Rows of a part, and components of a part and of a slice of queries: what a task holds.
 PART_ROWS, PART_VALUES, SLICE_VALUES = 8192, 1 << 22, 1 << 22
 # Rows per cell aimed at, and bounds of the cells and of the sample that they are picked from, which the driver holds.
@@ -190,14 +190,14 @@ class _Search:
         self.found = np.full((len(queries), k), np.iinfo(np.int64).max, dtype=np.int64)
         self.floor = np.full(len(queries), LOWEST, dtype=np.int64) if floor is None else floor
         self.scored = 0
-        self.worst = [-np.inf] * len(self.query_tree.centre)
+        self.points = queries.astype(np.float64)
+        self.norms = np.sqrt((self.points**2).sum(axis=1))
+        self.least = np.where(self.floor > LOWEST, self.floor, -np.inf)
+        self.worst = [float(self.least[self.query_tree.points_below(node)].min()) for node in range(len(self.query_tree.centre))]
         self.above = [-1] * len(self.worst)
         for node, children in enumerate(self.query_tree.children):
             for child in children:
                 self.above[child] = node
-        for node in range(len(self.worst)):
-            least = self.floor[self.query_tree.points_below(node)].min()
-            self.worst[node] = float(least) if least > LOWEST else -np.inf
         self._visit(0, 0)
 
     def _bound(self, a: int, b: int) -> float:
@@ -224,25 +224,36 @@ class _Search:
                 open_ += sorted((self._bound(child, b), child, b) for child in mine)
 
     def _leaves(self, a: int, b: int) -> None:
-        rows, columns = self.query_tree.points_below(a), self.data_tree.points_below(b)
+        """Scores of the points below two leaves, without the queries that the data leaf cannot serve."""
+        below, columns = self.query_tree.points_below(a), self.data_tree.points_below(b)
+        rest = self.norms[below] * self.data_tree.radius[b]
+        bound = self.points[below] @ self.data_tree.centre[b] + rest + 1e-9 * (self.norms[below] * self.data_tree.norm[b] + rest) + 1e-6
+        rows = below[bound >= self.least[below]]
+        if not len(rows):
+            return
         self.scored += len(rows) * len(columns)
         for at in range(0, len(columns), 1024):
             part = columns[at : at + 1024]
             scores = (self.queries[rows] @ self.data[part].T).astype(np.int64)
             scores[self.data_ids[part] == self.query_ids[rows][:, None]] = LOWEST
             k = min(self.k, len(part))
-            least = np.maximum(np.maximum(self.scores[rows, -1], self.floor[rows]), np.partition(scores, -k, axis=1)[:, -k])
+            least = np.maximum(self._known(rows), np.partition(scores, -k, axis=1)[:, -k])
             hit_row, hit_column = np.nonzero((scores >= least[:, None]) & (scores > LOWEST))
             if len(hit_row):
                 self._merge(rows[hit_row], self.data_ids[part[hit_column]], scores[hit_row, hit_column])
-        last = np.maximum(self.scores[rows, -1], self.floor[rows]).min()
-        self.worst[a] = float(last) if last > LOWEST else -np.inf
+        known = self._known(rows)
+        self.least[rows] = np.where(known > LOWEST, known, -np.inf)
+        self.worst[a] = float(self.least[below].min())
         while (a := self.above[a]) >= 0:
             least = min(self.worst[child] for child in self.query_tree.children[a])
             if least == self.worst[a]:
                 break
             self.worst[a] = least
 
+    def _known(self, rows: np.ndarray) -> np.ndarray:
+        """A score that the k-th one of each query reaches at least."""
+        return np.maximum(self.scores[rows, -1], self.floor[rows])
+
     def _merge(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """Put new results among the best k of their queries."""
         touched = np.unique(rows)
