@@ -8,8 +8,7 @@ The suffix array of a whole corpus fits no machine, so strings are first brought
 1. Each string is represented by its smallest n-gram of ``GRAM`` bytes, the leftmost one of equals. Neighbouring strings
    mostly have the same, so a text becomes a list of anchors, each with the stretch of strings that it stands for. Equal
    strings have equal anchors, so only stretches with the same anchor have to be compared.
-2. Stretches of equal bytes are copies of each other: a window over the anchor's stretches, ordered by their bytes, marks
-   them. Of each kind of stretch only the first copy goes on, and only if its anchor has other kinds too.
+2. Stretches of equal bytes, one kind, are copies of each other: the first and the last place of each kind mark them. Of each kind of stretch only the first copy goes on, and only if its anchor has other kinds too.
 3. The bytes of these go to the partition of their anchor. There their suffixes are sorted to the depth of ``length``
    bytes; in that order, the previous and next suffix with a smaller place are the ones that can share most bytes with a
    suffix, so the longer of the two common prefixes is its longest previous factor. From ``length`` bytes on, an earlier
@@ -18,8 +17,8 @@ The suffix array of a whole corpus fits no machine, so strings are first brought
    task: its strings are dealt out one by one, by their own hash, and marked as in step 2.
 
 NULL and empty texts have no bytes. Rows without ``doc_id`` are returned as they are and are nobody's copy. Repeated rows
-are copies of each other. Strings never reach from one text into another. Other columns are ignored. Stretches and single
-strings are compared by two 64-bit hashes.
+are copies of each other; with ``keep="first"`` they all stay as one, since nothing tells which is first. Strings never
+reach from one text into another. Other columns are ignored. Stretches and single strings are compared by two 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -104,16 +103,19 @@ def _anchors(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def _copies(anchors: DataFrame) -> DataFrame:
     """Stretches with whether an equal one comes earlier, whether one comes later, and the kinds of their anchor.
 
-    Ordered windows pass the rows of an anchor by, on disk if need be, so an anchor may have any number of them.
+    First and last places of each kind are gathered before the shuffle, kinds of an anchor are counted from one row per kind,
+    and the stretches meet their kind in a join, which splits a kind with very many copies; so nothing gathers all stretches
+    of an anchor or of a kind. Repeated rows are copies of each other, none of them earlier.
     """
-    order = Window.partitionBy("key").orderBy("kind", "doc_id", "first")
-    marked = anchors.select(
-        "*",
-        F.coalesce(F.lag("kind").over(order) == F.col("kind"), F.lit(False)).alias("earlier"),
-        F.coalesce(F.lead("kind").over(order) == F.col("kind"), F.lit(False)).alias("later"),
+    place = F.struct("doc_id", "first")
+    kinds = anchors.groupBy("key", "kind").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count(F.lit(1)).alias("n"))
+    kinds = materialize(kinds, "kinds_of_stretches")
+    several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    known = kinds.join(several, "key", "left").where("n > 1 or kinds > 1").withColumn("kinds", F.coalesce("kinds", F.lit(1).cast("long")))
+    marked = anchors.join(known, ["key", "kind"])
+    return marked.select(
+        *anchors.columns, (place > F.col("low")).alias("earlier"), ((place < F.col("high")) | ((F.col("n") > 1) & (F.col("low") == F.col("high")))).alias("later"), "kinds"
     )
-    kinds = F.sum((~F.col("earlier")).cast("long")).over(Window.partitionBy("key"))
-    return marked.withColumn("kinds", kinds).where("earlier or later or kinds > 1")
 
 
 def _bytes(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -207,14 +209,16 @@ def _factors(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "last", "earlier"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, key = [], 0, None
+        held, size, key, seen = [], 0, None, None
         for batch in batches:
             for row in batch.to_pylist():
+                if (row["key"], row["doc_id"], row["first"]) == seen:
+                    continue  # of a repeated row
                 if size >= SORTED_BYTES and row["key"] != key:
                     yield from found(held)
                     held, size = [], 0
                 held.append(row)
-                size, key = size + len(row["bytes"]), row["key"]
+                size, key, seen = size + len(row["bytes"]), row["key"], (row["key"], row["doc_id"], row["first"])
         if held:
             yield from found(held)
 
@@ -226,14 +230,15 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     also begins elsewhere; ``earlier`` if one of its copies comes before."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = texts.where("doc_id is not null")
-    marked = materialize(_copies(known.mapInArrow(_anchors(length), ANCHORS)), "stretches")
+    anchors = materialize(known.mapInArrow(_anchors(length), ANCHORS), "anchors")
+    marked = materialize(_copies(anchors), "stretches")
     whole = marked.where("earlier or later").select("doc_id", "first", "last", "earlier")
     wanted = marked.where("kinds > 1 and not earlier").groupBy("doc_id").agg(
-        F.collect_list(F.struct("key", "first", "last", (F.col("kinds") > MOST_KINDS).alias("crowded"))).alias("wanted")
+        F.collect_set(F.struct("key", "first", "last", (F.col("kinds") > MOST_KINDS).alias("crowded"))).alias("wanted")
     )
     cut = materialize(known.join(wanted, "doc_id").mapInArrow(_bytes(length), f"{ANCHORS}, bytes binary"), "kinds")
     single = _copies(cut.where("bytes is null").drop("bytes")).where("earlier or later").select("doc_id", "first", "last", "earlier")
-    together = cut.where("bytes is not null").repartition("key").sortWithinPartitions("key")
+    together = cut.where("bytes is not null").repartition("key").sortWithinPartitions("key", "doc_id", "first")
     sorted_ = together.mapInArrow(_factors(length), "doc_id long, first int, last int, earlier boolean")
     return whole.unionByName(single).unionByName(sorted_)
 

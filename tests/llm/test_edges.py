@@ -281,3 +281,14 @@ def test_pipeline_on_empty_tables_and_edges(spark, tmp_path):
         assert sorted(left[None]) == sorted(t for i, t in EDGES if i is None)
         assert left[5] == [EDGES[0][1]] and SHARED not in left[9][0]
         assert all(t in (None, "", " \n\t\x0b") for i in (10, 11, 12) for t in left[i])
+
+
+def test_suffix_array_keeps_repeated_rows_once_and_copies_of_a_common_passage(spark):
+    """Repeated rows are the first copy together; a passage in very many texts between ever new words goes from all others."""
+    rows = EDGES + [(100 + i, f"{passage(500 + i, 8)} {SHARED} {passage(900 + i, 8)}") for i in range(2100)]
+    kept = collections.defaultdict(list)
+    for r in suffix_array.remove(docs_of(spark, rows)).collect():
+        kept[r.doc_id].append(r.text)
+    assert kept[5] == [EDGES[0][1]] * 2 and sum(map(len, kept.values())) == len(rows)
+    for i in range(100, 2200):  # the last figures of the word before the passage may be common to two texts
+        assert SHARED[:200] not in kept[i][0] and kept[i][0].startswith(" ".join(passage(400 + i, 8).split()[:7]))
