@@ -70,12 +70,17 @@ def calendar_columns() -> list[Column]:
     ]
 
 
+def measured(lines: DataFrame) -> DataFrame:
+    """Sales lines with their additive measures."""
+    return lines.withColumns(
+        {"Revenue": F.col("SalesAmount"), "Profit": line_profit(), "UnitsSold": F.col("OrderQuantity")}
+    )
+
+
 def priced(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Sales lines with the attributes of their product and their additive measures."""
     known = products.select("ProductKey", "ProductCategory", "ProductSubcategory")
-    return lookup(lines, known, "ProductKey").withColumns(
-        {"Revenue": F.col("SalesAmount"), "Profit": line_profit(), "UnitsSold": F.col("OrderQuantity")}
-    )
+    return measured(lookup(lines, known, "ProductKey"))
 
 
 def described(rows: DataFrame, dates: DataFrame, customers: DataFrame, territories: DataFrame) -> DataFrame:

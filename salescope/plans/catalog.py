@@ -30,6 +30,8 @@ CONFIG = AnalysisConfig(
     attach_anchor="PROMO",
     attach_category="SMALL",
 )
+# Stored bytes of lines from which another task writes the fact.
+BYTES_PER_WRITER = 4 << 20
 # At the usual ratio no segment of the given data is new.
 LAUNCH = Thresholds(new_base_ratio=0.95)
 
@@ -56,18 +58,26 @@ def _once(spark: SparkSession, folder: str, step: str, make: Callable[[], T]) ->
 
 
 def order_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Lines with their product and headers with their attributes, stored in the same buckets of orders."""
+    """Lines with their product and headers with their attributes, stored in the same buckets of orders.
+
+    A line is dealt with the columns of its tables only; the columns of the view are made where it is stored, and the
+    measures, which follow from its amounts, in ``sales``.
+    """
 
     def make() -> tuple[DataFrame, DataFrame]:
         retail = Retail(spark, folder)
-        lines = facts.priced(retail.line_items(), dimensions.product_dimension(retail.products()))
+        products = dimensions.product_dimension(retail.products())
+        lines = dimensions.lookup(retail.lines(), retail.products().select("ProductKey", "ListPrice"), "ProductKey")
+        lines = dimensions.lookup(lines, products.select("ProductKey", "ProductCategory", "ProductSubcategory"), "ProductKey")
+        shown = [*retail.shown(retail.line_columns()), F.col("ProductCategory"), F.col("ProductSubcategory")]
         headers = facts.described(
             retail.headers(),
             calendar(spark, folder),
             customer_view(retail),
             dimensions.territory_dimension(retail.territories()),
         )
-        return store_bucketed(lines, "lines", facts.ORDER_KEY), store_bucketed(headers, "headers", facts.ORDER_KEY)
+        stored = store_bucketed(lines, "lines", facts.ORDER_KEY, columns=shown)
+        return stored, store_bucketed(headers, "headers", facts.ORDER_KEY)
 
     return _once(spark, folder, "parts", make)
 
@@ -75,14 +85,22 @@ def order_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Every sales line with keys, measures and attributes: all forms of the fact are columns of this."""
     lines, headers = order_parts(spark, folder)
-    joined = dimensions.lookup(lines, headers, facts.ORDER_KEY)
+    joined = facts.measured(dimensions.lookup(lines, headers, facts.ORDER_KEY))
     return joined.select(*facts.SALES_RAW_COLUMNS, *[c for c in joined.columns if c not in facts.SALES_RAW_COLUMNS])
 
 
 def stored_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """``sales``, stored once by year, and the figures gathered meanwhile for the checks and control totals."""
+    """``sales``, stored once by year, and the figures gathered meanwhile for the checks and control totals.
+
+    The tasks that join the buckets write the years, so the lines are not dealt again.
+    """
     metrics = quality.fact_metrics(REQUIRED, quality.anomaly_rules())
-    return _once(spark, folder, "sales", lambda: store_sales(sales(spark, folder), metrics))
+
+    def make() -> tuple[DataFrame, DataFrame]:
+        size = scratch.stored_bytes(order_parts(spark, folder)[0])
+        return store_sales(sales(spark, folder), metrics, max(1, size // BYTES_PER_WRITER))
+
+    return _once(spark, folder, "sales", make)
 
 
 def performance(spark: SparkSession, folder: str) -> Performance:

@@ -7,6 +7,7 @@ cost in the data, so line cost is a fixed proxy on the list price. Absent attrib
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,6 +126,11 @@ class Retail:
             if "SalesTerritoryKey" in wanted:
                 headers = lookup(headers, self.customers().select("CustomerKey", "GeographyKey"), "CustomerKey")
             sales = lookup(sales, headers, "OrderKey")
+        return sales.select(*self.shown(wanted))
+
+    @staticmethod
+    def shown(wanted: Sequence[str]) -> list[Column]:
+        """Columns of the raw sales from those of lines, products and headers."""
         derived = {
             "SalesOrderNumber": F.col("OrderKey").cast("string"),
             "OrderDateKey": calendar.date_key("OrderDate"),
@@ -132,9 +138,9 @@ class Retail:
             "SalesTerritoryKey": F.col("GeographyKey"),
             "OrderQuantity": F.col("Quantity").cast("int"),
             "UnitPrice": F.col("ListPrice"),
-            "TotalProductCost": self.cost(),
+            "TotalProductCost": Retail.cost(),
         }
-        return sales.select(*[derived.get(name, F.col(name)).alias(name) for name in wanted])
+        return [derived.get(name, F.col(name)).alias(name) for name in wanted]
 
     @staticmethod
     def _fill(table: str, source: DataFrame, known: dict[str, Column]) -> DataFrame:
@@ -171,10 +177,15 @@ class Retail:
         price = F.col("ListPrice").cast("decimal(10,2)")
         return (quantity * price * F.lit(COST_FACTOR).cast("decimal(4,2)")).cast(MONEY)
 
+    @staticmethod
+    def line_columns() -> tuple[str, ...]:
+        """Columns of the raw sales that do not belong to the order."""
+        header = ("OrderDateKey", "CustomerKey", "SalesTerritoryKey")
+        return tuple(name for name in raw_schema("sales").names if name not in header)
+
     def line_items(self) -> DataFrame:
         """The sales view without what belongs to the order."""
-        header = ("OrderDateKey", "CustomerKey", "SalesTerritoryKey")
-        return self.sales(*[name for name in raw_schema("sales").names if name not in header])
+        return self.sales(*self.line_columns())
 
     def headers(self) -> DataFrame:
         """Keys of date, customer and territory per order."""
