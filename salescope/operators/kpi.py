@@ -22,6 +22,8 @@ MEASURES = (*SUMS, *DISTINCTS)
 # Ids per word, and buckets of ids per shuffle partition.
 WORD_BITS = 64
 BUCKETS_PER_PARTITION = 4
+# Two codes of segments fit in a bigint.
+CODE_BITS = 31
 
 
 def zero_sum(value: Column | str) -> Column:
@@ -94,15 +96,24 @@ def additive_by_segment(df: DataFrame, dimensions: Sequence[str], period: Sequen
     return repeated.groupBy("dimension", "segment", *period).agg(*[F.sum(m).alias(m) for m in SUMS])
 
 
-def _id_words(lines: DataFrame, measure: str, slots: Mapping[str, str], period: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Bitmaps of one id column: (measure, dimension, segment, period, bucket, word, bits, sums).
-
-    Lines collapse to combinations of id, segments and period first, so an id that holds much of the fact is as many rows
-    as it has combinations. Ids are then dealt into buckets by hash and numbered within their bucket, by their first period
-    and then by id, so that ids of one period share words. The words are made where the ids were numbered, without a shuffle.
+def _id_words(
+    lines: DataFrame,
+    measure: str,
+    held: Sequence[str],
+    repeated: Column,
+    period: Sequence[str],
+    sums: Sequence[str] = (),
+) -> DataFrame:
+    """Bitmaps of one id column: (measure, segment columns, period, bucket, word, bits, sums).
+
+    ``held`` are the columns that hold the segments of a line, ``repeated`` makes the segment columns of its dimensions from
+    them. Lines collapse to combinations of id, segments and period first, so an id that holds much of the fact is as many
+    rows as it has combinations. Ids are then dealt into buckets by hash and numbered within their bucket, by their first
+    period and then by id, so that ids of one period share words. The words are made where the ids were numbered, without a
+    shuffle.
     """
     source = DISTINCTS[measure]
-    keys = lines.select(source, *period, *slots.values(), *sums).groupBy(source, *period, *slots.values())
+    keys = lines.select(source, *period, *held, *sums).groupBy(source, *period, *held)
     combined = keys.agg(*[F.sum(m).alias(m) for m in sums]) if sums else keys.count().drop("count")
     buckets = BUCKETS_PER_PARTITION * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = combined.withColumn("bucket", F.pmod(F.xxhash64(source), F.lit(buckets))).repartition("bucket")
@@ -112,11 +123,11 @@ def _id_words(lines: DataFrame, measure: str, slots: Mapping[str, str], period:
     place = F.dense_rank().over(Window.partitionBy("bucket").orderBy(*order)) - 1
     one = F.lit(1).cast("bigint")
     bit = F.when(F.col(source).isNotNull(), F.call_function("shiftleft", one, (F.col("__place") % WORD_BITS).cast("int")))
-    segments = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("segment")) for d, slot in slots.items()]
     placed = dealt.withColumn("__place", place).withColumn("__bit", bit)
     word = F.expr(f"__place div {WORD_BITS}").alias("word")
-    repeated = placed.select(*period, "bucket", word, "__bit", *sums, F.inline(F.array(*segments)))
-    words = repeated.groupBy("dimension", "segment", *period, "bucket", "word").agg(
+    rows = placed.select(*period, "bucket", word, "__bit", *sums, repeated)
+    segments = [c for c in rows.columns if c not in (*period, "bucket", "word", "__bit", *sums)]
+    words = rows.groupBy(*segments, *period, "bucket", "word").agg(
         F.bit_or("__bit").alias("bits"), *[F.sum(m).alias(m) for m in sums]
     )
     return words.withColumn("measure", F.lit(measure))
@@ -132,10 +143,53 @@ def segment_bitmaps(df: DataFrame, dimensions: Sequence[str], period: Sequence[s
     """
     slots = _slots(dimensions)
     lines = _narrow(df, slots, *period, *DISTINCTS.values(), *SUMS)
-    parts = [_id_words(lines, name, slots, period, SUMS if name == "Orders" else ()) for name in DISTINCTS]
+    segments = [F.struct(F.lit(d).alias("dimension"), F.col(slot).alias("segment")) for d, slot in slots.items()]
+    repeated = F.inline(F.array(*segments))
+    parts = [
+        _id_words(lines, name, list(slots.values()), repeated, period, SUMS if name == "Orders" else ())
+        for name in DISTINCTS
+    ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _code(segment: Column) -> Column:
+    """A segment in 31 bits."""
+    return F.pmod(F.xxhash64(segment), F.lit(1 << CODE_BITS))
+
+
+def codes_differ(sums: DataFrame) -> bool:
+    """Whether no two segments of a dimension in ``additive_by_segment`` share a code."""
+    coded = sums.select("dimension", "segment", _code(F.col("segment")).alias("code")).distinct()
+    return coded.groupBy("dimension", "code").count().where("count > 1").isEmpty()
+
+
+def coded_bitmaps(df: DataFrame, sums: DataFrame, dimensions: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
+    """``segment_bitmaps`` where a line carries codes of its segments, two in a number, instead of their names.
+
+    ``sums`` are those of ``additive_by_segment``, stored; its segments give the codes their names again, so they must
+    differ, see ``codes_differ``. The sums are rows of their own without words, so no line carries them.
+    """
+    slots = _slots(dimensions)
+    lines = _narrow(df, slots, *period, *DISTINCTS.values())
+    codes = [_code(F.col(slot)) for slot in slots.values()]
+    pairs = [codes[i : i + 2] for i in range(0, len(codes), 2)]
+    held = [F.shiftleft(p[0], CODE_BITS).bitwiseOR(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    names = [f"__codes{i}" for i in range(len(held))]
+    packed = lines.select(*period, *DISTINCTS.values(), *[h.alias(n) for h, n in zip(held, names)])
+    low = F.lit((1 << CODE_BITS) - 1)
+    single = [[F.shiftright(n, CODE_BITS), F.col(n).bitwiseAND(low)] if len(p) == 2 else [F.col(n)] for n, p in zip(names, pairs)]
+    numbers = enumerate(code for pair in single for code in pair)
+    places = [F.struct(F.lit(i).alias("__dimension"), code.alias("__code")) for i, code in numbers]
+    parts = [_id_words(packed, name, names, F.inline(F.array(*places)), period) for name in DISTINCTS]
+    words = reduce(lambda a, b: a.unionByName(b), parts)
+    number = reduce(lambda a, b: a.when(F.col("dimension") == b[1], F.lit(b[0])), enumerate(slots), F)
+    known = sums.select("dimension", "segment").distinct().select(
+        number.alias("__dimension"), _code(F.col("segment")).alias("__code"), "dimension", "segment"
+    )
+    named = words.join(known, ["__dimension", "__code"]).drop("__dimension", "__code")
+    return named.unionByName(sums.withColumn("measure", F.lit("Orders")), allowMissingColumns=True)
+
+
 def figures(bitmaps: DataFrame, *by: str) -> DataFrame:
     """The five measures of ``segment_bitmaps`` per group of its key columns.
 

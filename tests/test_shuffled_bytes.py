@@ -1,11 +1,17 @@
 """What the tasks send each other on the way to the segment tables: a line is dealt once by order, and only with codes by id."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from salescope.config import AnalysisConfig
 from salescope.operators import kpi
 from salescope.plans import catalog, performance
-from salescope.plans.performance import store_sales
+from salescope.plans.performance import Performance, store_sales
+from tests.conftest import full_year
 from tests.test_kpi import random_lines
 
 FOLDER = "/root/testdata/sf0.001"
+DIMENSIONS = ["ProductCategory", "UnitsSold", "CustomerKey"]
 
 
 def plan(df):
@@ -32,3 +38,35 @@ def test_writers_keep_every_line(spark, make_sales):
         assert totals.first().asDict() == kpi.control_totals(sales).first().asDict()
         assert sorted(map(str, stored.select(sales.columns).collect())) == sorted(map(str, sales.collect()))
         assert len(stored.inputFiles()) <= 4 * min(writers, 6)
+
+
+@pytest.mark.parametrize("dimensions", [DIMENSIONS[:1], DIMENSIONS[:2], DIMENSIONS])
+def test_coded_bitmaps_give_the_same_figures(make_sales, dimensions):
+    sales = make_sales(*random_lines(700, 13))
+    for period in ([], ["CalendarYear"]):
+        sums = kpi.additive_by_segment(sales, dimensions, period)
+        assert kpi.codes_differ(sums)
+        coded, plain = kpi.coded_bitmaps(sales, sums, dimensions, period), kpi.segment_bitmaps(sales, dimensions, period)
+        assert sorted(coded.dtypes) == sorted(plain.dtypes)
+        for by in (["dimension", "segment", *period], ["dimension", "segment"], ["dimension", *period]):
+            found, wanted = kpi.figures(coded, *by), kpi.figures(plain, *by)
+            assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_lines_carry_codes_not_names(make_sales):
+    sales = make_sales(*random_lines(50, 1))
+    sums = kpi.additive_by_segment(sales, DIMENSIONS, ["CalendarYear"]).localCheckpoint()
+    text = plan(kpi.coded_bitmaps(sales, sums, DIMENSIONS, ["CalendarYear"]))
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and "__codes0" in line]
+    assert len(dealt) == 2 and not any("__d0" in line or "Revenue" in line for line in dealt)
+
+
+def test_segments_with_equal_codes_keep_their_names(make_sales, monkeypatch):
+    lines = full_year(2012, 600, "Bikes", "a") + full_year(2013, 900, "Caps", "b") + full_year(2013, 60, "Hats", "c")
+    config = AnalysisConfig(core_dimensions=("ProductCategory",), context_dimensions=("CustomerKey",))
+    wanted = sorted(map(str, Performance(make_sales(*lines), config).history.collect()))
+    monkeypatch.setattr(kpi, "CODE_BITS", 1)
+    analysis = Performance(make_sales(*lines), config)
+    assert not kpi.codes_differ(kpi.additive_by_segment(analysis.sales, ["CustomerKey"]))
+    assert sorted(map(str, analysis.history.collect())) == wanted
+    assert analysis.yearly.where(F.col("dimension") == "ProductCategory").count() == 3
