@@ -190,6 +190,28 @@ def coded_bitmaps(df: DataFrame, sums: DataFrame, dimensions: Sequence[str], per
     return named.unionByName(sums.withColumn("measure", F.lit("Orders")), allowMissingColumns=True)
 
 
+def counted_segments(df: DataFrame, sums: DataFrame, dimensions: Sequence[str], period: Sequence[str] = ()) -> DataFrame:
+    """The five measures per (dimension, segment, period), for this grain alone and without bitmaps.
+
+    A line gives one number for each dimension, the dimension and the code of its segment; ids and numbers collapse in
+    every task, are dealt once by both together, and are counted. ``sums`` as for ``coded_bitmaps``.
+    """
+    slots = _slots(dimensions)
+    lines = _narrow(df, slots, *period, *DISTINCTS.values())
+    numbers = [F.lit(i << CODE_BITS).cast("bigint").bitwiseOR(_code(F.col(slot))) for i, slot in enumerate(slots.values())]
+    number = reduce(lambda a, b: a.when(F.col("dimension") == b[1], F.lit(b[0] << CODE_BITS)), enumerate(slots), F)
+    known = sums.select("dimension", "segment").distinct().withColumn(
+        "__segment", number.cast("bigint").bitwiseOR(_code(F.col("segment")))
+    )
+    parts = [sums]
+    for name, source in DISTINCTS.items():
+        met = lines.where(F.col(source).isNotNull()).select(source, *period, F.explode(F.array(*numbers)).alias("__segment"))
+        counts = met.distinct().groupBy("__segment", *period).agg(F.count(F.lit(1)).alias(name))
+        parts.append(counts.join(known, "__segment").drop("__segment"))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return both.groupBy("dimension", "segment", *period).agg(*[zero_sum(m).alias(m) for m in MEASURES])
+
+
 def figures(bitmaps: DataFrame, *by: str) -> DataFrame:
     """The five measures of ``segment_bitmaps`` per group of its key columns.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from functools import cached_property
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from salescope.config import AnalysisConfig, Thresholds
 from salescope.functions import bands, labels
 from salescope.operators import basket, dimensions, facts, kpi, outlook, periods, quality, ranking, segments
 from salescope.operators.report import displayed, formatted_kpis
-from salescope.plans.performance import RANKED, SEGMENT_FIGURES, Performance, store_sales
+from salescope.plans.performance import RANKED, SEGMENT_FIGURES, Performance, store_lines, store_sales
 from salescope.session import tune
 from salescope.sources import scratch
 from salescope.sources.buckets import store_bucketed
@@ -66,22 +67,56 @@ def order_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 
     def make() -> tuple[DataFrame, DataFrame]:
         retail = Retail(spark, folder)
-        products = dimensions.product_dimension(retail.products())
-        lines = dimensions.lookup(retail.lines(), retail.products().select("ProductKey", "ListPrice"), "ProductKey")
-        lines = dimensions.lookup(lines, products.select("ProductKey", "ProductCategory", "ProductSubcategory"), "ProductKey")
         shown = [*retail.shown(retail.line_columns()), F.col("ProductCategory"), F.col("ProductSubcategory")]
-        headers = facts.described(
-            retail.headers(),
-            calendar(spark, folder),
-            customer_view(retail),
-            dimensions.territory_dimension(retail.territories()),
-        )
-        stored = store_bucketed(lines, "lines", facts.ORDER_KEY, columns=shown)
-        return stored, store_bucketed(headers, "headers", facts.ORDER_KEY)
+        stored = store_bucketed(product_lines(retail), "lines", facts.ORDER_KEY, columns=shown)
+        return stored, store_bucketed(described_headers(retail), "headers", facts.ORDER_KEY)
 
     return _once(spark, folder, "parts", make)
 
 
+def product_lines(retail: Retail) -> DataFrame:
+    """Lines in the columns of their table, with list price, category and subcategory."""
+    products = dimensions.product_dimension(retail.products())
+    lines = dimensions.lookup(retail.lines(), retail.products().select("ProductKey", "ListPrice"), "ProductKey")
+    return dimensions.lookup(lines, products.select("ProductKey", "ProductCategory", "ProductSubcategory"), "ProductKey")
+
+
+def described_headers(retail: Retail, number: str = "string") -> DataFrame:
+    """Headers with their period, customer and territory attributes."""
+    return facts.described(
+        retail.headers(number),
+        calendar(retail.spark, retail.folder),
+        customer_view(retail),
+        dimensions.territory_dimension(retail.territories()),
+    )
+
+
+def segment_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns of the fact that segment figures are made from, stored once by year straight from the tables.
+
+    A line is dealt once, by its order. Orders and customers keep their numbers, which are counted like their texts.
+    """
+    header = ("CustomerKey", "CalendarYear", "YearMonthNumber", "Country", "IncomeGroup", "Occupation", "TerritoryGroup")
+
+    def make() -> DataFrame:
+        retail = Retail(spark, folder)
+        dealt = ("OrderKey", "Quantity", "SalesAmount", "ListPrice", "ProductCategory", "ProductSubcategory")
+        lines = product_lines(retail).select(*dealt)
+        headers = described_headers(retail, "bigint").select(facts.ORDER_KEY, *header)
+        joined = dimensions.lookup(lines, headers.hint("shuffle_hash"), "OrderKey", facts.ORDER_KEY)
+        keyed = joined.withColumns(
+            {
+                facts.ORDER_KEY: F.col("OrderKey"),
+                "OrderQuantity": F.col("Quantity").cast("int"),
+                "TotalProductCost": Retail.cost(),
+            }
+        )
+        measured = facts.measured(keyed)
+        return store_lines(measured.select(*[c for c in facts.SALES_RAW_COLUMNS if c in measured.columns]))
+
+    return _once(spark, folder, "segment_lines", make)
+
+
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Every sales line with keys, measures and attributes: all forms of the fact are columns of this."""
     lines, headers = order_parts(spark, folder)
@@ -106,11 +141,26 @@ def stored_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 def performance(spark: SparkSession, folder: str) -> Performance:
     """The analysis of a folder. Its stored fact and segment tables serve all queries of the application."""
 
-    def make() -> Performance:
-        fact, totals = stored_sales(spark, folder)
-        return Performance(raw_form(fact), CONFIG, totals)
+    return _once(spark, folder, "performance", lambda: FolderPerformance(spark, folder))
+
+
+class FolderPerformance(Performance):
+    """The analysis of a folder's tables: the fact is stored when a result needs its other columns too."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.config = spark, folder, CONFIG
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return raw_form(stored_sales(self.spark, self.folder)[0])
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return stored_sales(self.spark, self.folder)[1].select(*kpi.control_metrics())
 
-    return _once(spark, folder, "performance", make)
+    @cached_property
+    def lines(self) -> DataFrame:
+        return segment_lines(self.spark, self.folder)
 
 
 def raw_form(fact: DataFrame) -> DataFrame:

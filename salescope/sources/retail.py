@@ -187,11 +187,11 @@ class Retail:
         """The sales view without what belongs to the order."""
         return self.sales(*self.line_columns())
 
-    def headers(self) -> DataFrame:
-        """Keys of date, customer and territory per order."""
+    def headers(self, number: str = "string") -> DataFrame:
+        """Keys of date, customer and territory per order, with the order's ``number`` as text or as another type."""
         places = self.customers().select("CustomerKey", F.col("GeographyKey").alias("SalesTerritoryKey"))
         return lookup(self.orders(), places, "CustomerKey").select(
-            F.col("OrderKey").cast("string").alias("SalesOrderNumber"),
+            F.col("OrderKey").cast(number).alias("SalesOrderNumber"),
             calendar.date_key("OrderDate").alias("OrderDateKey"),
             "CustomerKey",
             "SalesTerritoryKey",

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salescope.config import AnalysisConfig
-from salescope.operators import kpi
+from salescope.operators import kpi, periods
 from salescope.plans import catalog, performance
 from salescope.plans.performance import Performance, store_sales
 from tests.conftest import full_year
@@ -70,3 +70,42 @@ def test_segments_with_equal_codes_keep_their_names(make_sales, monkeypatch):
     assert not kpi.codes_differ(kpi.additive_by_segment(analysis.sales, ["CustomerKey"]))
     assert sorted(map(str, analysis.history.collect())) == wanted
     assert analysis.yearly.where(F.col("dimension") == "ProductCategory").count() == 3
+
+
+@pytest.mark.parametrize("dimensions", [DIMENSIONS[:1], DIMENSIONS])
+def test_segments_are_counted_without_bitmaps(make_sales, dimensions):
+    sales = make_sales(*random_lines(700, 17), (2012, 201201, 3, 1, 1, None, None, "Alone"), (None, None, 2, 1, 1, "o", None, None))
+    for period in ([], ["CalendarYear"]):
+        sums = kpi.additive_by_segment(sales, dimensions, period)
+        counted = kpi.counted_segments(sales, sums, dimensions, period)
+        wanted = kpi.segment_totals(sales, dimensions, period).select(counted.columns)
+        assert sorted(map(str, counted.collect())) == sorted(map(str, wanted.collect()))
+
+
+def odd_folder(spark, folder):
+    """The small tables with some orders, customers and parts twice, some keys NULL, and some lines without their order."""
+    for name, key in {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey", "lineitem": "l_orderkey"}.items():
+        table = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        lost = table.where(f"{key} % 11 = 0").withColumn(key, F.lit(None).cast(table.schema[key].dataType))
+        kept = table.where(f"{key} % 11 > 0 AND {key} % 13 > {0 if name == 'orders' else -1}")
+        kept.unionByName(lost).unionByName(table.where(f"{key} % 7 = 1")).write.parquet(f"{folder}/{name}.parquet")
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_two_years_need_no_stored_fact_and_no_other_years(spark, tmp_path, monkeypatch):
+    folder = odd_folder(spark, tmp_path)
+    analysis = catalog.performance(spark, folder)
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "stored_sales", lambda *_: pytest.fail("the whole fact was stored"))
+        m.setattr(catalog, "order_parts", lambda *_: pytest.fail("the lines were stored in buckets"))
+        assert catalog.segment_yoy(spark, folder).count() > 0
+        assert "bitmaps" not in vars(analysis)
+    fact = Performance(analysis.sales, catalog.CONFIG, analysis.totals)
+    assert fact.years == analysis.years
+    wide = periods.in_years(fact.bitmaps, *fact.years)
+    wanted = kpi.figures(wide, "dimension", "segment", "CalendarYear").select(analysis.yearly.columns)
+    assert analysis.yearly.dtypes == wanted.dtypes
+    assert sorted(map(str, analysis.yearly.collect())) == sorted(map(str, wanted.collect()))
+    assert analysis.lines.count() == analysis.sales.count()
