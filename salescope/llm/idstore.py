@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,7 @@ class _Generation:
         self.ids = np.zeros(0, dtype=np.int32)
 
     def find(self, strings: Sequence[bytes]) -> np.ndarray:
-        get = self.places.get
-        return np.array([get(s, -1) for s in strings], dtype=np.int64)
+        return np.fromiter(map(self.places.get, strings, repeat(-1)), dtype=np.int64, count=len(strings))
 
     def add(self, strings: Sequence[bytes], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         slots = len(self.first) - 1 + np.arange(len(strings))
@@ -73,5 +73,5 @@ class IdStore:
         if not len(strings):
             return np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
         coded = strings.dictionary_encode()
-        slots = self._slots(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        slots = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         return gathered(self.new.first, self.new.ids, slots)

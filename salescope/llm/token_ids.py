@@ -23,6 +23,7 @@ import os
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,14 @@ BY_COUNT = [int(s) for s in np.argsort(COUNTS[:14], kind="stable")] + [ZEROS]
 FILE_SCHEMA = "part int, start long, n_ids long, doc_ids array<long>, sizes array<int>, data binary"
 
 
+# Bits of the numbers that most ids are written as.
+NARROW = np.array([i.bit_length() for i in range(1 << 16)], dtype=np.uint8)
+
+
 def widths(values: np.ndarray) -> np.ndarray:
     """Bits that each number needs."""
+    if not len(values) or values.max() < len(NARROW):
+        return NARROW[values]
     found = np.zeros(len(values), dtype=np.uint8)
     rest = values.copy()
     for step in (32, 16, 8, 4, 2, 1):
@@ -181,14 +188,21 @@ def byte_of(name: str) -> int:
 class WordTokenizer:
     """Ids of texts by a tokenizer with lower case and a pattern of letters, single numbers and other runs.
 
-    Its tokens never reach over white space, nor from a letter to a mark such as ``,`` or ``.``, so texts are cut there
-    and each distinct cut is encoded once. Capitals A-Z are put in lower case before that, unless a special token may
-    be in the texts, since those are found before letters change.
+    Its tokens never reach over white space, nor from a letter to an ASCII mark, nor from a mark other than ``'`` to a
+    letter, so texts are cut there and each distinct cut is encoded once. The marks of special tokens stay uncut. Capitals
+    A-Z are put in lower case before that, unless a special token may be in the texts, since those are found before
+    letters change.
     """
 
-    MARKS = np.isin(np.arange(256), list(b".,;:!?"))
+    MARKS = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"))
+    # Second bytes, after C3, of the Latin-1 signs that are no letters.
+    SIGNS = (0x97, 0xB7)
     # Letters below this code point stay one letter in lower case and in composed form.
     PLAIN = "\u0250"
+    # Distinct cuts in each generation of the store.
+    STORED = 300_000
+    # The end of the last token of a word, in names of tokens.
+    SUFFIX = "</w>"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -197,36 +211,55 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Tokenizer(self.tokenizer.model)
         self.names = {byte_of(n): n for n in pre_tokenizers.ByteLevel.alphabet()}
-        self.store = IdStore(self._make)
+        vocabulary = self.merges.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=bool)
+        self.last[[i for name, i in vocabulary.items() if name.endswith(self.SUFFIX)]] = True
+        self.store = IdStore(self._make, self.STORED)
+
+    def _letters(self, named: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, by their names in the byte-level alphabet, and the number of ids of each word."""
+        groups = [named[at : at + 1000] for at in range(0, len(named), 1000)]
+        quick = self.merges.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in quick), dtype=np.int32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) == len(named) and (not len(ids) or ends[-1] == len(ids)):
+            return ids, np.diff(ends, prepend=0)
+        # A word without a token of its own at the end: ask for the word of every token.
+        encoded = self.merges.encode(named, is_pretokenized=True, add_special_tokens=False)
+        owners = np.array(encoded.word_ids, dtype=np.int64)
+        return np.array(encoded.ids, dtype=np.int32), np.bincount(owners, minlength=len(named))
 
     def _make(self, cuts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of cuts. One that is all letters is a single token of the pattern and goes straight to the merges."""
         texts = [c.decode() for c in cuts]
+        plain = np.array([t.isalpha() and (t.isascii() or (max(t) < self.PLAIN and "\u0130" not in t)) for t in texts], dtype=bool)
+        letters, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        lower = [texts[i].lower() for i in letters]
+        named = [t if t.isascii() else t.encode().decode("latin-1").translate(self.names) for t in lower]
+        ids, sizes = self._letters(named)
+        rest = self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)
         counts = np.zeros(len(cuts), dtype=np.int64)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        plain = np.array([t.isalpha() and max(t) < self.PLAIN and "\u0130" not in t for t in texts], dtype=bool)
-        letters = np.flatnonzero(plain)
-        for at in range(0, len(letters), 1000):
-            part = letters[at : at + 1000]
-            named = [texts[i].lower().encode().decode("latin-1").translate(self.names) for i in part]
-            encoded = self.merges.encode(named, is_pretokenized=True, add_special_tokens=False)
-            found.append((part[np.array(encoded.word_ids, dtype=np.int64)], np.array(encoded.ids, dtype=np.int32)))
-        others = np.flatnonzero(~plain)
-        for i, encoded in zip(others, self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)):
-            found.append((np.full(len(encoded.ids), i), np.array(encoded.ids, dtype=np.int32)))
-        if not found:
-            return np.zeros(0, dtype=np.int32), counts
-        owners = np.concatenate([x[0] for x in found])
-        counts += np.bincount(owners.astype(np.int64), minlength=len(cuts))
-        return np.concatenate([x[1] for x in found])[np.argsort(owners, kind="stable")], counts
+        counts[letters], counts[others] = sizes, [len(e.ids) for e in rest]
+        found = np.zeros(int(counts.sum()), dtype=np.int32)
+        of_letters = np.repeat(plain, counts)
+        found[of_letters] = ids
+        found[~of_letters] = np.fromiter(chain.from_iterable(e.ids for e in rest), dtype=np.int32)
+        return found, counts
+
+    def _breaks(self, data: np.ndarray) -> np.ndarray:
+        """Places between a letter and a mark."""
+        letter = (data >= ord("a")) & (data <= ord("z"))
+        mark = self.MARKS[data]
+        latin = np.zeros(len(data), dtype=bool)
+        latin[1:] = (data[:-1] == 0xC3) & (data[1:] != self.SIGNS[0]) & (data[1:] != self.SIGNS[1])
+        return np.flatnonzero(((letter | latin)[:-1] & mark[1:]) | (mark[:-1] & letter[1:])) + 1
 
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each text with the end id, and the number of ids of each text."""
         data, offsets = flat(column)
         if not ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
             data = lowered(data)
-        letter = (data >= ord("a")) & (data <= ord("z"))
-        words = Words(data, offsets, np.flatnonzero(letter[:-1] & self.MARKS[data[1:]]) + 1)
+        words = Words(data, offsets, self._breaks(data))
         ids, bounds = self.store.look_up(binary_column(*words.packed()))
         ends = bounds[words.bounds[1:]]
         return np.insert(ids, ends, end_id), np.diff(np.concatenate(([0], ends))) + 1

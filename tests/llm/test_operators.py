@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -420,3 +421,46 @@ def test_cells_out_of_reach_are_not_searched(spark, monkeypatch):
     assert found == expected
     home, further = (q.count() for q in searched)
     assert home == 80 and further < 0.25 * 80 * 40
+
+
+def odd_words(count, seed):
+    """Texts of letters, marks, numbers and special tokens in any order."""
+    dice = random.Random(seed)
+    parts = [*"abzABZéßÉİıªµ×÷ñçŒœǅʰας中ノ", "é", "≠", "≮", "a̸", "́", *"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", "'s", "'ll", "'", "...", "***"]
+    parts += [*" \t\n 1290²½٣", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "</w>", "hello", "ISN'T", "it's", "🙂", "…"]
+    return ["".join(dice.choices(parts, k=dice.randint(0, 30))) for _ in range(count)]
+
+
+def test_cut_texts_get_the_ids_of_the_public_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, cut = Tokenizer.from_file(path), token_ids.WordTokenizer(path)
+    for seed in range(40):
+        texts = [*odd_words(60, seed), "", None]
+        ids, sizes = cut.encode(pa.array(texts, pa.string()), 1)
+        wanted = [[*whole.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+        assert sizes.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
+
+
+def test_a_word_is_encoded_once_whatever_marks_stand_beside_it():
+    cut, seen = token_ids.WordTokenizer(public_tokenizers.path("word_bpe_49k.json")), []
+    make = cut.store.make
+    cut.store.make = lambda strings: seen.extend(strings) or make(strings)
+    cut.encode(pa.array(['straße Straße*** (straße) "straße" straße#straße straße... ***straße']), 1)
+    assert seen.count("straße".encode()) == 1 and sum("stra".encode() in s for s in seen) == 1
+
+
+def test_words_without_an_end_token_are_counted_by_the_slow_way():
+    cut = token_ids.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    wanted = [x.tolist() for x in cut._letters(["hello", "unbelievablyso", "a"])]
+    cut.last[:] = False
+    assert [x.tolist() for x in cut._letters(["hello", "unbelievablyso", "a"])] == wanted
+    assert [len(x) for x in cut._letters([])] == [0, 0]
+
+
+def test_narrow_and_wide_numbers_have_the_same_widths():
+    numbers = np.array([0, 1, 2, 3, 255, 256, 65535], dtype=np.uint64)
+    wide = token_ids.widths(np.append(numbers, np.uint64(1 << 40)))
+    assert token_ids.widths(numbers).tolist() == wide[:-1].tolist() == [int(n).bit_length() for n in numbers]
